@@ -11,6 +11,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusmill.llm.quality import load_labels, quality
+
+    return quality(_table(spark, sf_dir, "documents"), load_labels(spark, sf_dir))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusmill.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
