@@ -11,6 +11,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusmill.llm.pii import personal_data, sha256
+
+    found = personal_data(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", sha256("base").alias("base_sha256"), "spans", "all_email", "all_ip", "all_card", "all_phone")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusmill.llm.quality import load_labels, quality
 
