@@ -45,6 +45,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusmill.llm.syncmers import fingerprinted
+
+    return fingerprinted(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
