@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusmill.llm.language_id import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusmill.llm.pii import personal_data, sha256
 
