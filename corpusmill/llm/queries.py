@@ -24,6 +24,14 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", sha256("base").alias("base_sha256"), "spans", "all_email", "all_ip", "all_card", "all_phone")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusmill.llm.suffix_dedup import repeated_bytes
+
+    found = repeated_bytes(_table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusmill.llm.quality import load_labels, quality
 
