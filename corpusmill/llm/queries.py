@@ -11,6 +11,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from corpusmill.llm.lm_scoring import score
+
+    return score(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusmill.llm.language_id import identify
 

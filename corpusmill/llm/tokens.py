@@ -44,8 +44,11 @@ class ByteBPE:
     def whole(self, text: str) -> np.ndarray:
         return np.array((self.exact if any(s in text for s in self.specials) else self.plain)(text), dtype="<u4")
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """``texts`` without nulls -> (ids as little-endian unsigned 32-bit, starts with one more for the end)."""
+    def encode(self, texts: pa.Array, *, ordinary: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """``texts`` without nulls -> (ids as little-endian unsigned 32-bit, starts with one more for the end).
+
+        ``ordinary``: special tokens' strings are read as any other text.
+        """
         lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
         starts = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
@@ -53,7 +56,7 @@ class ByteBPE:
         chunks = coded.dictionary.to_pylist()
         length = pc.binary_length(coded.dictionary).to_numpy().astype(np.int64)
         bad = (length == 0) | (pc.binary_length(pc.utf8_trim_whitespace(coded.dictionary)).to_numpy() != length)
-        for s in self.specials:
+        for s in () if ordinary else self.specials:
             bad |= pc.match_substring(coded.dictionary, s).to_numpy(zero_copy_only=False)
         good = np.flatnonzero(~bad)
         ids = np.array(self.plain(" " + " ".join([chunks[i] for i in good] if bad.any() else chunks) if len(good) else ""), dtype="<u4")
@@ -63,7 +66,7 @@ class ByteBPE:
         whole = np.logical_or.reduceat(bad[word], starts[:-1]) if len(word) else np.zeros(0, bool)
         alone: dict[int, np.ndarray] = {}
         for i, first in enumerate(word[starts[:-1]]):
-            alone[i] = self.whole(texts[i].as_py()) if whole[i] else np.array(self.plain(chunks[first]), dtype="<u4")
+            alone[i] = (np.array(self.plain(texts[i].as_py()), dtype="<u4") if ordinary else self.whole(texts[i].as_py())) if whole[i] else np.array(self.plain(chunks[first]), dtype="<u4")
         n_word = count[word]
         if whole.any():
             n_word[np.repeat(whole, np.diff(starts))] = 0
