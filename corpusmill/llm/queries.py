@@ -46,6 +46,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), load_labels(spark, sf_dir))
 
 
+def op6_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusmill.llm.embedding_join import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusmill.llm.mixing import mix
 
@@ -79,4 +85,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+#: Only this one has an SQL form that ends in reasonable time on whole tables.
+SQL = {
+    "op6_embedding_join": """
+WITH RECURSIVE u AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM u UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+), part AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT u.vec_id, coalesce(n_links, 0) AS n_links, component_id, u.vec_id = component_id AS kept
+FROM u JOIN part USING (vec_id) LEFT JOIN n USING (vec_id)
+""",
+}
