@@ -54,9 +54,13 @@ def lexicon_words(text: Column) -> Column:
 
 def shingles(text: Column, n: int = P.NGRAM, fewest: int = P.FEWEST_WORDS) -> Column:
     """Distinct word n-grams in order; none for texts of fewer than ``fewest`` words."""
-    w = words(text)
-    each = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= max(fewest, n), F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    def of(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= max(fewest, n), F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    # the words are bound to a variable, else every n-gram would split the text anew
+    return F.element_at(F.transform(F.array(words(text)), of), 1)
 
 
 def has_drift(text: Column, pattern: str = P.DRIFT) -> Column:

@@ -55,7 +55,7 @@ def _q(pattern: str) -> str:
 
 
 def _sql_words(x: str) -> str:
-    return f"list_filter(regexp_split_to_array({x}, '{P.WHITE_SPACE}+'), w -> w <> '')"
+    return f"list_filter(regexp_split_to_array({x}, '{P.WHITE_SPACE}+'), lambda w: w <> '')"
 
 
 def _sql_canonical(x: str = "text") -> str:
@@ -257,7 +257,7 @@ def pack_flat_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.flat_batches(_id_rows(spark, sf_dir), 8, 16).select("batch_id", F.col("slot").cast("int").alias("slot"), F.array_join("ids", ",").alias("ids"))
 
 
-_IDS = f"""(SELECT seq, list_transform({_sql_words('text')}, w -> length(w)) AS ids FROM (SELECT conv_id * 1000 + turn AS seq, concat("user", ' ', assistant) AS text FROM {_PAIRS} p))"""
+_IDS = f"""(SELECT seq, list_transform({_sql_words('text')}, lambda w: length(w)) AS ids FROM (SELECT conv_id * 1000 + turn AS seq, concat("user", ' ', assistant) AS text FROM {_PAIRS} p))"""
 
 
 def equal_length_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,16 +320,16 @@ def events_stream_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_pairs(threshold: float = P.JACCARD) -> str:
     w = _sql_words("text")
-    return f"""u AS (SELECT doc_id, text FROM (SELECT doc_id, {_sql_canonical()} AS text, row_number() OVER (PARTITION BY {_sql_canonical()} ORDER BY doc_id) AS k FROM documents) WHERE k = 1),
-s AS (SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) AS s FROM (SELECT doc_id, {w} AS w FROM u) WHERE len(w) >= 6),
-e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
-pairs AS (SELECT a, b, c / (na + nb - c) AS jaccard FROM (SELECT l.doc_id AS a, r.doc_id AS b, any_value(l.n) AS na, any_value(r.n) AS nb, count(*) AS c FROM e l JOIN e r ON l.x = r.x AND l.doc_id < r.doc_id GROUP BY ALL) WHERE c / (na + nb - c) >= {threshold})"""
+    return f"""u AS MATERIALIZED (SELECT doc_id, text FROM (SELECT doc_id, {_sql_canonical()} AS text, row_number() OVER (PARTITION BY {_sql_canonical()} ORDER BY doc_id) AS k FROM documents) WHERE k = 1),
+s AS MATERIALIZED (SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM (SELECT doc_id, {w} AS w FROM u) WHERE len(w) >= 6),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+pairs AS MATERIALIZED (SELECT a, b, c / (na + nb - c) AS jaccard FROM (SELECT l.doc_id AS a, r.doc_id AS b, any_value(l.n) AS na, any_value(r.n) AS nb, count(*) AS c FROM e l JOIN e r ON l.x = r.x AND l.doc_id < r.doc_id GROUP BY ALL) WHERE c / (na + nb - c) >= {threshold})"""
 
 
 _GREEDY = f"""{_sql_pairs()},
-later AS (SELECT b AS id, list(a) AS near, row_number() OVER (ORDER BY b) AS r FROM pairs GROUP BY b),
+later AS MATERIALIZED (SELECT b AS id, list(a) AS near, row_number() OVER (ORDER BY b) AS r FROM pairs GROUP BY b),
 g(r, gone) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL
-  SELECT l.r, CASE WHEN len(list_filter(l.near, x -> NOT list_contains(g.gone, x))) > 0 THEN list_append(g.gone, l.id) ELSE g.gone END FROM g JOIN later l ON l.r = g.r + 1)"""
+  SELECT l.r, CASE WHEN len(list_filter(l.near, lambda x: NOT list_contains(g.gone, x))) > 0 THEN list_append(g.gone, l.id) ELSE g.gone END FROM g JOIN later l ON l.r = g.r + 1)"""
 
 
 def _sql_events() -> str:
@@ -347,7 +347,7 @@ SELECT lang, count(*) AS n_docs, CAST(sum(len({_sql_words('text')})) AS BIGINT)
     "drift_flags": f"SELECT doc_id, regexp_matches(regexp_replace(text, '{P.DEDUP_MARKS}', '', 'g'), '{LATIN_DRIFT}') AS has_drift FROM documents",
     "drift_arabic_inline": f"SELECT CAST(id AS BIGINT) AS id, has_drift FROM {_sql_values([(i, e) for i, _, e in DRIFT_CASES], ['id', 'has_drift'])}",
     "exact_dedup": f"SELECT doc_id, row_number() OVER (PARTITION BY {_sql_canonical()} ORDER BY doc_id) > 1 AS is_duplicate FROM documents",
-    "shingle_counts": f"SELECT doc_id, CASE WHEN len(w) >= 6 THEN len(list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')))) ELSE 0 END AS n_shingles FROM (SELECT doc_id, {_sql_words(_sql_canonical())} AS w FROM documents)",
+    "shingle_counts": f"SELECT doc_id, CASE WHEN len(w) >= 6 THEN len(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))) ELSE 0 END AS n_shingles FROM (SELECT doc_id, {_sql_words(_sql_canonical())} AS w FROM documents)",
     "near_dup_pairs": f"WITH {_sql_pairs()} SELECT a, b, jaccard FROM pairs",
     "greedy_dedup": f"WITH RECURSIVE {_GREEDY}, last AS (SELECT gone FROM g ORDER BY r DESC LIMIT 1) SELECT doc_id FROM u, last WHERE NOT list_contains(gone, doc_id)",
     "dialogue_pairs": f"SELECT * FROM {_PAIRS} p",
@@ -376,14 +376,14 @@ SELECT r.k // 128 AS batch_id, CAST((r.k // 16) % 8 AS INTEGER) AS slot, string_
     "token_counts": f"SELECT token, count(*) AS n FROM (SELECT unnest({_sql_words('text')}) AS token FROM documents) GROUP BY token",
     "char_fallback_tokens": f"SELECT token, count(*) AS n FROM (SELECT unnest({_sql_words('text')}) AS token FROM documents) WHERE length(token) = 1 AND NOT list_contains(string_split('{P.CLITICS}', ''), token) GROUP BY token",
     "particle_ratio": "SELECT *, target_hits / (target_hits + other_hits) AS dmpr FROM (SELECT CAST(sum(len(regexp_extract_all(text, 'the '))) AS BIGINT) AS target_hits, CAST(sum(len(regexp_extract_all(text, 'of '))) AS BIGINT) AS other_hits FROM conversations)",
-    "turn_error_rates": f"""SELECT char_errors, chars, words, char_errors / chars AS cer FROM (SELECT CAST(sum(levenshtein("user", assistant)) AS BIGINT) AS char_errors, CAST(sum(length("user")) AS BIGINT) AS chars, CAST(sum(len({_sql_words('"user"')})) AS BIGINT) AS words FROM {_PAIRS} p)""",
     "label_accuracy": "SELECT lang AS task, count(*) AS n, avg(CASE WHEN quality = 1 THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM documents JOIN labels USING (doc_id) WHERE lang <> 'es' GROUP BY lang",
     "distill_prompts": f"SELECT text, concat('Persona: ', speaker_gender, ', ', speaker_age, ', speaking ', speaker_dialect, '.', CASE WHEN is_multi_speaker THEN ' (Several speakers: keep their turns.)' ELSE '' END, chr(10), 'Anchor transcript: ', text, chr(10), 'Produce the JSON dialogue.') AS prompt FROM {_META_SQL} m WHERE is_multi_speaker OR target",
     "event_props_json": "SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS key FROM events) GROUP BY key",
     "events_stream_agg": _sql_events(),
 }
 
-NO_SQL = (purge_report, min_hash_signatures, anchors_blake2b, holdout_blake2b, distill_canned, tokenizer_metrics)
+#: DuckDB's levenshtein counts bytes, so turn_error_rates has none either.
+NO_SQL = (turn_error_rates, purge_report, min_hash_signatures, anchors_blake2b, holdout_blake2b, distill_canned, tokenizer_metrics)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
