@@ -31,12 +31,13 @@ def curated(stream: DataFrame, out: str, checkpoint: str, *, text: str = "text",
 
 def distinct_in_window(stream: DataFrame, *, text: str = "text", time: str = "ts", delay: str = "1 hour") -> DataFrame:
     """The first row of each canonical text, with state that is dropped after ``delay``."""
-    return stream.withColumn("canonical", T.canonical(F.col(text))).withWatermark(time, delay).dropDuplicatesWithinWatermark(["canonical"])
+    return stream.withColumns({"canonical": T.canonical(F.col(text)), time: F.col(time).cast("timestamp")}).withWatermark(time, delay).dropDuplicatesWithinWatermark(["canonical"])
 
 
 def event_counts(events: DataFrame, *, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """(window_start, event_type, n, total) of a table or stream of events (ts, event_type, value)."""
-    rows = events.withWatermark("ts", delay) if events.isStreaming else events
+    # watermarks need an instant; tables may hold times without a zone
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay) if events.isStreaming else events
     out = rows.groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return out.select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
 
