@@ -259,6 +259,7 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         return pa.Table.from_pylist(_sent(t.column("block")[0].as_py(), _ANCHOR, splitters, runs.gram[pick], runs.whole[pick], again), schema=_SENT)
 
     def judged(t: pa.Table) -> pa.Table:
+        t = t.sort_by("block")  # the representative is that of the least block: a task that runs again answers alike
         keys = [np.frombuffer(x, np.uint64) for x in t.column("keys").to_pylist()]
         sizes = [len(k) for k in keys]
         again = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=m).astype(bool) for x, m in zip(t.column("again").to_pylist(), sizes)])
