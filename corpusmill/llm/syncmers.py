@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from corpusmill.llm.common import n_blocks, saved
+from corpusmill.llm.common import n_blocks
 
 #: k and s for words and for code points.
 WORD_K, WORD_S = 6, 2
@@ -81,13 +81,12 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame, *, bucket_rows: int = 400) -> DataFrame:
-    """Rows (doc_id, text) with next_text: that of the following row by falling id; the last's is the first's.
+    """Rows (doc_id, text, own) with next_text and next: the following row's by falling id; after the last comes the first.
 
-    Ids are ranged into buckets of about ``bucket_rows`` rows by quantiles, so a text moves once to its bucket; only
-    each bucket's first row goes to its predecessor. Rows of one id follow one another by their text; a null id comes
-    last. A bucket's first row is found by an aggregate of ids alone.
+    Ids are ranged into buckets of about ``bucket_rows`` rows by quantiles, so a text moves once, to its bucket; of each
+    bucket only the first row also goes to its predecessor. Rows of one id follow one another by their text; a null id
+    comes last.
     """
-    spark = docs.sparkSession
     n = docs.count()
     parts = max(1, min(n_blocks(docs, 4 << 20), 1 + n // bucket_rows))
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts) if n else []))
@@ -95,16 +94,17 @@ def with_next(docs: DataFrame, *, bucket_rows: int = 400) -> DataFrame:
     # buckets count upwards as ids fall
     bucket = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.size(F.filter(bounds, lambda c: c >= F.col("doc_id"))))
     rows = docs.withColumn("bucket", bucket.cast("int"))
-    order = (F.col("doc_id").desc_nulls_last(), F.col("text"))
-    w = W.partitionBy("bucket").orderBy(*order)
-    rows = rows.withColumn("k", F.row_number().over(w)).withColumn("next_text", F.lead("text").over(w)).withColumn("last", F.lead("bucket").over(w).isNull())
-    rows = saved(rows)
-    filled = rows.where("k = 1").select("bucket", F.col("text").alias("first_text"))
-    # one row of numbers for each bucket: its follower among the buckets that have rows
-    follow = filled.select("bucket").withColumn("to", F.coalesce(F.lead("bucket").over(W.orderBy("bucket")), F.min("bucket").over(W.partitionBy(F.lit(1)))))
-    first = follow.join(filled.withColumnRenamed("bucket", "to"), "to").select(F.col("bucket").alias("b"), "first_text")
-    ends = rows.where("last").join(first, F.col("bucket") == F.col("b")).select("doc_id", "text", F.col("first_text").alias("next_text"))
-    return rows.where("not last").select("doc_id", "text", "next_text").unionByName(ends)
+    # one row of numbers for each bucket: its greatest id, and its forerunner among the buckets that have rows
+    starts = rows.groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    starts = starts.select(F.col("bucket").alias("b"), "top", F.coalesce(F.lag("bucket").over(W.orderBy("bucket")), F.max("bucket").over(W.partitionBy(F.lit(1)))).alias("before"))
+    first = rows.join(starts, (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("before").agg(F.min("text").alias("first_text"))
+    first = with_syncmers(first, "first_text", "first_own")
+    w = W.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text"))
+    dealt = with_syncmers(rows, "text", "own")
+    dealt = dealt.withColumn("next_text", F.lead("text").over(w)).withColumn("next", F.lead("own").over(w))
+    out = dealt.join(first, F.col("bucket") == F.col("before"), "left")
+    last = F.col("next_text").isNull()
+    return out.select("doc_id", "text", "own", F.when(last, F.col("first_text")).otherwise(F.col("next_text")).alias("next_text"), F.when(last, F.col("first_own")).otherwise(F.col("next")).alias("next"))
 
 
 def fingerprinted(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -119,7 +119,7 @@ def fingerprinted(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - third), F.substring(F.col("next_text"), F.lit(1), third))
     rows = rows.withColumn("edited", edited)
-    rows = with_syncmers(with_syncmers(with_syncmers(rows, "text", "own"), "edited", "other"), "next_text", "next")
+    rows = with_syncmers(rows, "edited", "other")
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), spelled(F.col("own")).alias("fingerprint"),
         spelled(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"),
