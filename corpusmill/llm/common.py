@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of a stored table that one block of documents should hold.
 BLOCK_BYTES = 4 << 20
+#: Estimates from here on mean that nothing is known.
+UNKNOWN_BYTES = 1 << 55
 #: Rows of an Arrow batch: documents may be long, so batches are short.
 BATCH_ROWS = 500
 
@@ -45,8 +47,15 @@ def short_batches(spark: SparkSession) -> None:
 
 
 def table_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of the table's bytes; sizes partitions only, never decides results."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's estimate of the table's bytes; where it has none (rows of an RDD), they are measured.
+
+    It sizes partitions only and never decides results.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < UNKNOWN_BYTES:
+        return size
+    width = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8) for f in df.schema), F.lit(0))
+    return int(df.agg(F.sum(width)).first()[0] or 0)
 
 
 def n_blocks(df: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
