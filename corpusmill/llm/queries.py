@@ -92,7 +92,7 @@ def oracle_sql() -> dict[str, str]:
 SQL = {
     "op6_embedding_join": """
 WITH RECURSIVE u AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
 ), link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
 ), reach(a, b) AS (
