@@ -128,7 +128,9 @@ def sample(docs: DataFrame, *, chars: int = SAMPLE_CHARS) -> dict[str, list[str]
     """
     rows = docs.where("lang is not null and text is not null").select("lang", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"), F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
     total = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("total"))
-    drawn = rows.join(total, "lang").where(F.pmod("h", F.lit(1 << 20)) < 4.0 * (chars + 20 * SAMPLE_DOC_CHARS) / F.col("total") * (1 << 20))
+    # a row per language, of which the driver is about to hold a sample each anyway: small enough to broadcast, so that
+    # only what is drawn is shuffled by language
+    drawn = rows.join(F.broadcast(total), "lang").where(F.pmod("h", F.lit(1 << 20)) < 4.0 * (chars + 20 * SAMPLE_DOC_CHARS) / F.col("total") * (1 << 20))
     before = F.sum(F.length("text")).over(W.partitionBy("lang").orderBy("h").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.length("text")
     words: dict[str, set[str]] = {}
     for r in drawn.withColumn("before", before).where(F.col("before") < chars).select("lang", "text").collect():
