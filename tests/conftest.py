@@ -3,6 +3,9 @@ import sys
 
 import pytest
 
+# small matrices: threads of a BLAS would only wait for one another
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
