@@ -89,7 +89,8 @@ def with_next(docs: DataFrame, *, bucket_rows: int = 400) -> DataFrame:
     """
     n = docs.count()
     parts = max(1, min(n_blocks(docs, 4 << 20), 1 + n // bucket_rows))
-    cuts = sorted(set(docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts) if n else []))
+    named = docs.where("doc_id is not null") if parts > 1 else None
+    cuts = sorted(set(named.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts) or [])) if named is not None and not named.isEmpty() else []
     bounds = F.array(*(F.lit(int(c)) for c in cuts)).cast("array<bigint>")
     # buckets count upwards as ids fall
     bucket = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.size(F.filter(bounds, lambda c: c >= F.col("doc_id"))))
@@ -97,7 +98,8 @@ def with_next(docs: DataFrame, *, bucket_rows: int = 400) -> DataFrame:
     # one row of numbers for each bucket: its greatest id, and its forerunner among the buckets that have rows
     starts = rows.groupBy("bucket").agg(F.max("doc_id").alias("top"))
     starts = starts.select(F.col("bucket").alias("b"), "top", F.coalesce(F.lag("bucket").over(W.orderBy("bucket")), F.max("bucket").over(W.partitionBy(F.lit(1)))).alias("before"))
-    first = rows.join(starts, (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("before").agg(F.min("text").alias("first_text"))
+    # at most 2^20 rows of two numbers, by n_blocks; joined by a shuffle, all texts would move once more
+    first = rows.join(F.broadcast(starts), (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("before").agg(F.min("text").alias("first_text"))
     first = with_syncmers(first, "first_text", "first_own")
     w = W.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text"))
     dealt = with_syncmers(rows, "text", "own")
