@@ -30,7 +30,9 @@ from corpusmill.llm.common import n_blocks, short_batches
 LENGTH = 200
 GRAM = 40
 #: Bytes that are hashed at a time; longer texts are cut with an overlap.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
+#: Stored bytes of a block's documents: a task holds its block and its open suffixes in memory.
+BLOCK_BYTES = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -249,7 +251,7 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     spark = docs.sparkSession
     short_batches(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("raw"))
-    n = n_blocks(docs)
+    n = n_blocks(docs, BLOCK_BYTES)
     splitters = _splitters(rows, n)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "raw"), F.lit(n)).cast("int")).repartition(n, "block")
 
