@@ -130,6 +130,18 @@ def links(distinct: DataFrame, *, radius: int = RADIUS, tile: int = TILE) -> Dat
     return tiles.repartition(n, "m", "key", "i", "j").sortWithinPartitions("m", "key", "i", "j").mapInArrow(_links(radius), "a long, b long")
 
 
+def _grouped(docs: DataFrame, *, words: int = WORDS_PER_SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` (doc_id, text and others) without text, with fp, component (one fingerprint for all of a group) and component_id."""
+    fps = saved(fingerprints(docs, words=words))
+    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    group = components(links(distinct.select("fp"), radius=radius))
+    classes = distinct.join(group, distinct.fp == group.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    classes = saved(classes)
+    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = classes.join(least, "component").select("fp", "component", "component_id")
+    return fps.join(classes, "fp")
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS_PER_SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp, component_id.
 
@@ -139,14 +151,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     ``docs`` are not carried. An empty table gives an empty one.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    fps = saved(fingerprints(docs, words=words))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    group = components(links(distinct.select("fp"), radius=radius))
-    classes = distinct.join(group, distinct.fp == group.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    classes = saved(classes)
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "component").select("fp", "component_id")
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, words=words, radius=radius).select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp) -> F.Column:
@@ -157,13 +162,18 @@ def hexadecimal(fp) -> F.Column:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the least doc_id's, of repeated ids the least row.
 
-    Rows with a null doc_id are compared like others; they stay only if their whole group has none.
+    Rows with a null doc_id are compared like others; they stay only if their whole group has none, and then
+    the least row of each such group stays.
     """
     named = docs.select(*docs.columns)
-    found = near_duplicates(named)
-    # whether a row stays is decided by its id and its fingerprint's group: only ids leave the operator
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), "fp").groupBy("__id").agg(F.count("*").alias("__n"))
-    kept = named.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
+    # two hashes of 64 bits stand for the text: with the id they name a row's group, and only they leave the operator
+    keys = {"__h": F.xxhash64("text"), "__g": F.xxhash64(F.lit(1), "text")}
+    found = _grouped(named.select("doc_id", "text", *(k.alias(c) for c, k in keys.items())))
+    least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id"), "__h", "__g", F.col("component").alias("__group")).agg(F.count("*").alias("n"))
+    least = saved(least)
+    total = least.groupBy("__group").agg(F.sum("n").alias("__n"))
+    least = least.join(total, "__group").select("__id", F.col("__h").alias("__lh"), F.col("__g").alias("__lg"), "__group", "__n")
+    kept = named.withColumns(keys).join(least, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__lh")) & (F.col("__g") == F.col("__lg")))
     once = kept.where("__n = 1").select(*docs.columns)
-    again = kept.where("__n > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    again = kept.where("__n > 1").groupBy("__group").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.unionByName(again)
