@@ -39,12 +39,14 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that each source's words come to its target: a row for each copy."""
-    copies = mixing.mix(docs).select(F.col("doc_id").alias("__id"), "copies", F.col("source").alias("__s"))
-    # rows of one id and source share their copies: the id's rows, numbered alike on both sides
-    copies = copies.groupBy("__id", "__s").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
-    found = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__s")))
+    # two hashes over a whole row stand for it; hashes pass over nulls, so it is told which columns have none
+    row = [*docs.columns, *(F.isnull(c) for c in docs.columns)]
+    keyed = docs.withColumns({"__h": F.xxhash64(*row), "__g": F.xxhash64(F.lit(1), *row)})
+    copies = mixing.mix(keyed, keys=("__h", "__g")).groupBy("__h", "__g").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    found = keyed.join(copies, ["__h", "__g"])
     once = found.where("n = 1")
-    again = found.where("n > 1").dropDuplicates(["doc_id", "source"])
+    # equal rows give their copies to one of them
+    again = found.where("n > 1").dropDuplicates(["__h", "__g"])
     every = once.unionByName(again).where("copies > 0")
     return every.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy")).select(*docs.columns)
 
@@ -58,7 +60,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mixture", mixture), ("packing", pack)]
 
-#: The classifier, XXH64 fingerprints and tokenizer have no SQL form: tests hold the stages against brute force.
+#: The classifier, XXH64 fingerprints and tokenizer have no SQL form: tests/llm/test_stages.py holds the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -101,15 +101,16 @@ def _tilts(sized: DataFrame, goal: DataFrame) -> DataFrame:
     return out.select("source", "cls", "n", "words", rate.alias("rate"))
 
 
-def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, copies (0 to 3), taken = copies * size.
 
     Sources are ordered by code point with null last as one source; weights repeat in that order. Texts of no words
     (null, empty) have size 0 and one copy. Repeated rows are rows of their own. Where ids repeat with one size, which
     of them gets a further copy makes no difference to the result. Empty table: no rows. Reruns agree: nothing
-    depends on the order of rows or partitions.
+    depends on the order of rows or partitions. Columns ``keys`` come first in the result and tell apart rows of one
+    id and size.
     """
-    rows = saved(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
+    rows = saved(docs.select(*keys, F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
     per = saved(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights))
     # one row for each source; Spark decides by its size whether to broadcast it
     named = per.select(F.col("source").alias("__s"), "source_size", "target")
@@ -120,7 +121,7 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
     first = _tilts(some, per.select("source", F.col("target").alias("goal"))).select(F.col("source").alias("__s"), F.col("cls").alias("__c"), "rate")
     large = some.where("large").join(first, F.col("source").eqNullSafe(F.col("__s")) & (F.col("cls") == F.col("__c"))).drop("__s", "__c")
     # at most 500 rows a source, by the definition of large
-    listed = large.groupBy("source", "source_size", "target").agg(F.sort_array(F.collect_list(F.struct("size", "doc_id", "rate")), asc=False).alias("h"))
+    listed = large.groupBy("source", "source_size", "target").agg(F.sort_array(F.collect_list(F.struct("size", "doc_id", *keys, "rate")), asc=False).alias("h"))
 
     def carry(s: Column, c: Column) -> Column:
         want = c["size"] * c["rate"] + s["owed"]
@@ -128,7 +129,7 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
         return F.struct((want - k * c["size"]).alias("owed"), F.concat(s["k"], F.array(k)).alias("k"))
 
     listed = listed.withColumn("k", F.aggregate("h", F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("k")), carry)["k"])
-    placed = saved(listed.select("source", "source_size", "target", F.explode(F.arrays_zip("h", "k")).alias("z")).select(F.col("z.h.doc_id").alias("doc_id"), "source", F.col("z.h.size").alias("size"), "source_size", "target", F.col("z.k").cast("long").alias("copies")))
+    placed = saved(listed.select("source", "source_size", "target", F.explode(F.arrays_zip("h", "k")).alias("z")).select(*(F.col(f"z.h.{c}").alias(c) for c in keys), F.col("z.h.doc_id").alias("doc_id"), "source", F.col("z.h.size").alias("size"), "source_size", "target", F.col("z.k").cast("long").alias("copies")))
 
     taken = placed.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got")).withColumnRenamed("source", "__s")
     goal = per.join(taken, F.col("source").eqNullSafe(F.col("__s")), "left").select("source", F.greatest(F.lit(0.0), F.col("target") - F.coalesce("got", F.lit(0))).alias("goal"))
@@ -137,14 +138,14 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
     cells = cells.withColumn("parts", F.ceil(F.col("n") / CELL_ROWS).cast("int")).withColumn("fraction", F.col("rate") - F.floor("rate"))
     named = cells.select(F.col("source").alias("__s"), F.col("cls").alias("__c"), "rate", "fraction", "parts")
     rest = rest.join(named, F.col("source").eqNullSafe(F.col("__s")) & (F.col("cls") == F.col("__c"))).drop("__s", "__c")
-    rest = rest.withColumn("mixed", F.xxhash64(F.col("doc_id").cast("string"), "size")).withColumn("part", F.pmod("mixed", F.col("parts")).cast("int"))
+    rest = rest.withColumn("mixed", F.xxhash64(F.col("doc_id").cast("string"), "size", *keys)).withColumn("part", F.pmod("mixed", F.col("parts")).cast("int"))
     counts = rest.groupBy("source", "cls", "part").agg(F.count("*").alias("n"), F.first("fraction").alias("f"))
     order = W.partitionBy("source").orderBy(F.desc("cls"), "part").rowsBetween(W.unboundedPreceding, W.currentRow)
     counts = counts.select(F.col("source").alias("__s"), F.col("cls").alias("__c"), F.col("part").alias("__p"), (F.sum(F.col("n") * F.col("f")).over(order) - F.col("n") * F.col("f")).alias("before"))
-    rest = rest.withColumn("k", F.row_number().over(W.partitionBy("source", "cls", "part").orderBy("mixed", "doc_id")))
+    rest = rest.withColumn("k", F.row_number().over(W.partitionBy("source", "cls", "part").orderBy("mixed", "doc_id", *keys)))
     rest = rest.join(counts, F.col("source").eqNullSafe(F.col("__s")) & (F.col("cls") == F.col("__c")) & (F.col("part") == F.col("__p")))
     at = F.col("before") + F.col("k") * F.col("fraction")
     extra = F.floor(at + 0.5) - F.floor(at - F.col("fraction") + 0.5)
-    rest = rest.select("doc_id", "source", "size", "source_size", "target", F.least(F.lit(MOST_COPIES), F.floor("rate") + extra).cast("long").alias("copies"))
-    void = rows.where("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(1).cast("long").alias("copies"))
+    rest = rest.select(*keys, "doc_id", "source", "size", "source_size", "target", F.least(F.lit(MOST_COPIES), F.floor("rate") + extra).cast("long").alias("copies"))
+    void = rows.where("size = 0").select(*keys, "doc_id", "source", "size", "source_size", "target", F.lit(1).cast("long").alias("copies"))
     return placed.unionByName(rest).unionByName(void).withColumn("taken", F.col("copies") * F.col("size"))

@@ -1,5 +1,10 @@
 """The pipeline's stages against brute force, each on its own input: null and repeated ids, several texts under one id."""
 
+from collections import Counter
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -43,3 +48,71 @@ def test_near_duplicates(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     want = sorted((min(g, key=order) for g in groups(docs.collect())), key=order)
     assert sorted(corpus_pipeline.near_duplicates(spark, docs, sf).collect(), key=order) == want
+
+
+def targets(sizes):
+    """Words of each source: shares by the weights 5, 2, 1 over the sources in order, none above three times its size."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    out, left = {}, sum(sizes.values())
+    while free := [s for s in order if s not in out]:
+        level = left / sum(weight[s] for s in free)
+        over = [s for s in free if level * weight[s] > 3 * sizes[s]]
+        out |= {s: 3 * sizes[s] for s in over} if over else {s: level * weight[s] for s in free}
+        left -= sum(3 * sizes[s] for s in over)
+    return out
+
+
+def test_mixture_gives_each_row_its_own_copies(spark):
+    rows = [(None, text(i, 5 + i % 90), "en", "abc"[i % 3]) for i in range(600)] + [(i % 7, text(1000 + i, 40), "en", None if i % 2 else "a") for i in range(400)]
+    rows += [(8, text(3), "en", "b")] * 5 + [(8, text(3), None, "b"), (8, text(3), "b", None), (9, "", "en", "a"), (9, None, "en", "a"), (None, None, None, None), (None, None, None, None)]
+    docs = table(spark, rows)
+    given = Counter(docs.collect())
+    out = Counter(corpus_pipeline.mixture(spark, docs, "").collect())
+    assert all(out[r] <= 3 * n for r, n in given.items()) and set(out) <= set(given)
+    assert all(out[r] == n for r, n in given.items() if not (r.text or "").split())
+    words = lambda c: {s: sum(n * len((r.text or "").split()) for r, n in c.items() if r.source == s) for s in ("a", "b", "c", None)}
+    want, got = targets(words(given)), words(out)
+    assert all(abs(got[s] - want[s]) <= max(100, 0.01 * want[s]) for s in want), (got, want)
+    again = table(spark, rows[::-1]).repartition(7)
+    assert Counter(corpus_pipeline.mixture(spark, again, "").collect()) == out
+
+
+def test_mixture(spark, sf):
+    from corpusmill.llm import mixing
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    copies = {(r.doc_id, r.source): r.copies for r in mixing.mix(docs).collect()}
+    given, out = docs.collect(), Counter(corpus_pipeline.mixture(spark, docs, sf).collect())
+    words = lambda n: Counter({s: sum(n(r) * len(r.text.encode().split()) for r in given if r.source == s) for s in {r.source for r in given}})
+    want, got, op = targets(words(lambda r: 1)), words(lambda r: out[r]), words(lambda r: copies[r.doc_id, r.source])
+    assert all(abs(got[s] - want[s]) <= max(60, 0.05 * want[s]) and abs(got[s] - op[s]) <= 0.1 * want[s] + 60 for s in want)
+
+
+def test_quality(spark, sf):
+    from corpusmill.llm import quality
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rejected = {r.doc_id for r in quality.quality(docs, quality.load_labels(spark, sf)).where("score < 0.5").collect()}
+    assert Counter(corpus_pipeline.quality(spark, docs, sf).collect()) == Counter(r for r in docs.collect() if r.doc_id not in rejected)
+
+
+def test_personal_data(spark):
+    docs = table(spark, [(None, "write to a@b.com or jane at foo dot co dot uk", "en", "s"), (1, "no data", "en", "s"), (1, None, None, None)])
+    out = {r.text: r for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
+    assert set(out) == {"write to <EMAIL> or <EMAIL>", "no data", None} and all(r.n_chars == (len(t) if t else r.n_chars) for t, r in out.items())
+
+
+def test_packing_of_null_and_repeated_ids(spark):
+    rows = [(None, text(1, 700), "en", "s"), (None, text(2, 50), "en", None), (4, text(3, 50), "en", "s"), (4, text(3, 50), "en", "s"), (4, "", "en", "s"), (5, None, "en", "t")]
+    bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out = corpus_pipeline.pack(spark, table(spark, rows), "").collect()
+    size = Counter()
+    for k, t, *_ in rows:
+        size[k] += len(bpe.encode(t or "", add_special_tokens=False).ids) + 1
+    got = Counter()
+    for r in out:
+        got[r.doc_id] += r.length
+    assert got == size
+    places = sorted((r.sequence_id, r.offset, r.length) for r in out)
+    assert all(b[1] == (a[1] + a[2] if a[0] == b[0] else 0) for a, b in zip(places, places[1:]))
