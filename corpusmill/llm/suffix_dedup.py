@@ -1,20 +1,23 @@
 """Removal of byte strings that occur again, by a sparse suffix array over the whole corpus.
 
-Every byte that is covered by a string of ``LENGTH`` bytes that also starts elsewhere goes. Suffixes are ordered by
-their leading tokens; a token is the 64-bit fingerprint of a stretch of bytes, so ``LENGTH`` bytes are two of them.
+Every byte that is covered by a string of ``LENGTH`` bytes that also starts elsewhere goes. Suffixes are ordered by their
+leading tokens: the first token of a suffix is its first 8 bytes, read as a big-endian number, so the order is that of
+the bytes; the second, by which only suffixes of equal first tokens are ordered, is the 64-bit fingerprint of all
+``LENGTH`` bytes.
 
 Not every suffix has to be ordered. Each window of ``LENGTH`` bytes has an anchor: its least ``GRAM``-byte string by
-hash, which equal windows share. In the first round only anchors are ordered: by their own bytes (a window whose anchor
-occurs once occurs once), then by all bytes of the windows that share the anchor (if those occur again with the anchor in
-the same place, so do all these windows). In the second round the suffixes that are still open, which are those near the
-ends of repeated stretches, are ordered by both tokens of their windows, beside one representative of each settled
-stretch that has the anchor of an open one.
-
-Each round: splitters, sampled from documents, range-partition the suffixes by their first token; buckets sort by
-multikey quicksort, and equal neighbours count as repeated. Splitters lie between first tokens, never within one, so
-what is equal shares a bucket and a comparison across a boundary can find nothing; each bucket checks that it
-holds tokens of its own range only. Documents are dealt in blocks; a block sends each suffix it holds once, with its
-count, so a string that very many documents share is a row per block.
+hash, which equal windows share. A first round goes through anchors only, by fingerprints of their own bytes (a window
+whose anchor occurs once occurs once) and of all bytes of the windows that share the anchor (if those occur again with
+the anchor in the same place, so do all these windows). The second round orders the suffixes that are still open, which
+are those near the ends of repeated stretches, beside one representative of each settled stretch that has the anchor
+of an open one.
+
+Each round: splitters, sampled from texts, range-partition the keys; buckets sort by multikey quicksort, and equal
+neighbours count as repeated. Splitters of suffixes are suffixes themselves, often the most frequent. Of a suffix that
+equals a splitter one half of the blocks sends its copies to the bucket below, the other half to the bucket above, and
+each asks the other bucket too: what stands on both sides of a boundary is compared by adding the two counts. Documents are
+dealt in blocks; a block sends each distinct suffix of a portion once, with its count, so a string that very many
+documents share is a row per block. Blocks send no more messages than suffixes, whatever the number of buckets.
 """
 
 from __future__ import annotations
@@ -31,8 +34,11 @@ LENGTH = 200
 GRAM = 40
 #: Bytes that are hashed at a time; longer texts are cut with an overlap.
 CHUNK = 1 << 18
-#: Stored bytes of a block's documents: a task holds its block and its open suffixes in memory.
-BLOCK_BYTES = 2 << 20
+#: Stored bytes of a block's documents, which a task holds in memory; blocks to a bucket.
+BLOCK_BYTES, BLOCKS_PER_BUCKET = 4 << 20, 4
+#: Open suffixes that a block has in memory at a time, about.
+PORTION = 400_000
+LEAD = 8
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -99,9 +105,9 @@ class Chunk:
 
     @staticmethod
     def tokens(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The two tokens of the windows at ``start``; of the second, 32 bits are enough to tell windows apart."""
-        half, h = LENGTH // 2, Hasher(data)
-        return h.of(start, start + half), (h.of(start + half, start + 2 * half) >> np.uint64(32)).astype(np.uint32)
+        """The two tokens of the windows at ``start``: the first bytes as a number, the fingerprint of all."""
+        lead = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, LEAD)[start]).view(">u8").ravel()
+        return lead.astype(np.uint64), Hasher(data).of(start, start + LENGTH)
 
 
 def chunks(raw: bytes) -> Iterator[tuple[int, Chunk]]:
@@ -129,7 +135,7 @@ class Runs:
         self.gram, self.whole = join(gram, np.uint64), join(whole, np.uint64)
 
     def suffixes(self, wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(text, window starts, first and second tokens) of the windows of the ``wanted`` runs."""
+        """(text, window starts, first and second tokens) of the windows of the ``wanted`` runs, chunk by chunk."""
         if not wanted.any():
             return
         edges = np.flatnonzero(np.r_[True, (self.doc[1:] != self.doc[:-1]) | (self.off[1:] != self.off[:-1]), True])
@@ -146,12 +152,12 @@ class Runs:
 
 
 def _distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For a block's suffixes: one representative of each in token order, whether it occurs again here, and each one's place."""
+    """For a block's keys: one representative of each in order, how often it occurs here (1, or 2 for more), and each one's place."""
     order, _, new = multikey_order(first, second)
     place = np.empty(len(order), np.int64)
     group = np.cumsum(new) - 1
     place[order] = group
-    return order[new], np.bincount(group, minlength=int(new.sum())) > 1, place
+    return order[new], np.minimum(np.bincount(group, minlength=int(new.sum())), 2).astype(np.uint8), place
 
 
 def multikey_order(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,68 +183,139 @@ def _groups(new: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 #: What a block learns of an anchor: once in the corpus; settled, as all its windows occur again; open; settled, and to be
-#: sent as the representative of its kind. Of a suffix: whether it occurs again.
+#: sent as the representative of its kind. Of a suffix: how often it occurs in the bucket (2 for more).
 _ONCE, _SETTLED, _OPEN, _SENDS = 0, 1, 2, 3
 
 
-def judge_anchors(gram: np.ndarray, whole: np.ndarray, again: np.ndarray) -> np.ndarray:
+def judge_anchors(gram: np.ndarray, whole: np.ndarray, times: np.ndarray) -> np.ndarray:
     order, new_gram, new_pair = multikey_order(gram, whole)
-    times = 1 + again[order].astype(np.int64)
     mixed = _groups(new_gram, new_pair.astype(np.int64)) > 1
-    settled = _groups(new_pair, times) > 1
+    settled = _groups(new_pair, times[order].astype(np.int64)) > 1
     out = np.empty(len(order), np.uint8)
     out[order] = np.where(settled, np.where(mixed & new_pair, _SENDS, _SETTLED), np.where(mixed, _OPEN, _ONCE))
     return out
 
 
-def judge_suffixes(first: np.ndarray, second: np.ndarray, again: np.ndarray) -> np.ndarray:
+def judge_suffixes(first: np.ndarray, second: np.ndarray, times: np.ndarray) -> np.ndarray:
     order, _, new_pair = multikey_order(first, second)
     out = np.empty(len(order), np.uint8)
-    out[order] = _groups(new_pair, 1 + again[order].astype(np.int64)) > 1
+    out[order] = np.minimum(_groups(new_pair, times[order].astype(np.int64)), 2)
     return out
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("more", pa.binary()), ("again", pa.binary())])
-_SENT_DDL = "bucket int, block int, kind int, keys binary, more binary, again binary"
-_BACK = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
-_BACK_DDL = "block int, kind int, bucket int, flags binary"
+_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("part", pa.int32()), ("first", pa.binary()), ("second", pa.binary()), ("times", pa.binary())])
+_SENT_DDL = "bucket int, block int, part int, first binary, second binary, times binary"
+_BACK = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
+_BACK_DDL = "block int, kind int, part int, bucket int, flags binary"
 _ANCHOR, _SUFFIX = 0, 1
 
 
-def _sent(block: int, kind: int, splitters: np.ndarray, first: np.ndarray, second: np.ndarray, again: np.ndarray) -> list[dict]:
-    """A block's suffixes, in token order, cut at the splitters."""
-    cuts = np.r_[0, np.searchsorted(first, splitters, side="left"), len(first)]
-    return [
-        {"bucket": k, "block": block, "kind": kind, "keys": first[a:b].tobytes(), "more": second[a:b].tobytes(), "again": np.packbits(again[a:b]).tobytes()}
-        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-        if b > a
-    ]
+class Splitters:
+    """Pairs of tokens in ascending order; bucket k holds what lies from splitter k - 1 to splitter k, both included."""
+
+    def __init__(self, first: np.ndarray, second: np.ndarray):
+        self.first, self.second = first, second
+
+    def ranges(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted keys: (where each bucket's begin, where they end). A key that equals a splitter is in two buckets."""
+        lo, hi = (np.searchsorted(first, self.first, side=side) for side in ("left", "right"))
+        left, right = lo.copy(), hi.copy()
+        for k in np.flatnonzero(hi > lo):
+            own = second[lo[k] : hi[k]]
+            left[k], right[k] = lo[k] + np.searchsorted(own, self.second[k], "left"), lo[k] + np.searchsorted(own, self.second[k], "right")
+        return np.r_[0, left], np.r_[right, len(first)]
+
+    def holds(self, bucket: int, first: np.ndarray, second: np.ndarray) -> bool:
+        """Whether all keys lie in the bucket's range."""
+        ok = np.ones(len(first), bool)
+        if bucket > 0:
+            s, t = self.first[bucket - 1], self.second[bucket - 1]
+            ok &= (first > s) | ((first == s) & (second >= t))
+        if bucket < len(self.first):
+            s, t = self.first[bucket], self.second[bucket]
+            ok &= (first < s) | ((first == s) & (second <= t))
+        return bool(ok.all())
+
+
+def _sent(block: int, part: int, splitters: Splitters, first: np.ndarray, second: np.ndarray, times: np.ndarray) -> list[dict]:
+    """A block's distinct keys, in order, cut at the splitters: those that equal one count on one side, and ask on the other."""
+    begin, end = splitters.ranges(first, second)
+    out = []
+    for k in np.flatnonzero(end > begin).tolist():
+        a, b = int(begin[k]), int(end[k])
+        counted = times[a:b].copy()
+        # blocks of even number count what equals a splitter above it, the others below it
+        if k > 0 and end[k - 1] > a and block % 2:
+            counted[0] = 0
+        if k < len(splitters.first) and begin[k + 1] < b and not block % 2:
+            counted[-1] = 0
+        out.append({"bucket": k, "block": block, "part": part, "first": first[a:b].tobytes(), "second": second[a:b].tobytes(), "times": counted.tobytes()})
+    return out
 
 
 def _texts(t: pa.Table) -> list[bytes]:
     return [x or b"" for x in t.column("raw").to_pylist()]
 
 
-def _answers(back: pa.Table, kind: int, n: int) -> np.ndarray:
-    """A block's flags of one kind, in its token order; buckets are in that order too."""
-    rows = sorted(((r["bucket"], r["flags"]) for r in back.to_pylist() if r["kind"] == kind))
-    out = np.frombuffer(b"".join(f for _, f in rows), np.uint8)
-    if len(out) != n:
-        raise RuntimeError(f"a block got {len(out)} answers for {n} suffixes")
+def _answers(back: dict[tuple[int, int], list[tuple[int, bytes]]], kind: int, part: int, splitters: Splitters, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The buckets' answers for a portion's distinct keys, in order; where two buckets answer, their sum."""
+    begin, end = splitters.ranges(first, second)
+    out, got = np.zeros(len(first), np.uint8), 0
+    for bucket, flags in back.get((kind, part), ()):
+        a, b = int(begin[bucket]), int(end[bucket])
+        out[a:b] += np.frombuffer(flags, np.uint8)
+        got += b - a
+    if got != int(np.maximum(end - begin, 0).sum()):
+        raise RuntimeError(f"a block got {got} answers for {len(first)} keys")
     return out
 
 
-def _splitters(rows: DataFrame, n: int, docs: int = 200, chars: int = 20_000) -> np.ndarray:
-    """First tokens that part the suffixes into ``n`` ranges of about equal size, from a sample of texts.
+def _by_portion(back: pa.Table) -> dict[tuple[int, int], list[tuple[int, bytes]]]:
+    out: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
+    for kind, part, bucket, flags in zip(*(back.column(c).to_pylist() for c in ("kind", "part", "bucket", "flags"))):
+        out.setdefault((kind, part), []).append((bucket, flags))
+    return out
+
+
+def _portions(runs: Runs, wanted: np.ndarray) -> Iterator[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The windows of the ``wanted`` runs in portions of about PORTION."""
+    held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+    for x in runs.suffixes(wanted):
+        held.append(x)
+        if sum(len(h[1]) for h in held) >= PORTION:
+            yield held
+            held = []
+    if held:
+        yield held
+
 
-    They balance the buckets and never decide what is found; with too few sampled tokens they are spaced evenly.
+def _splitters(rows: DataFrame, n: int, docs: int = 200, chars: int = 20_000) -> tuple[Splitters, Splitters]:
+    """(of anchors, of suffixes): keys that part those of all texts into ``n`` ranges, from a bounded sample of texts.
+
+    They balance the buckets and never decide what is found. One half of the suffixes' are quantiles of all windows, the
+    other of those that are open within the sample, which stand for the frequent ones.
     """
     total = rows.count()
     drawn = rows.where(F.pmod(F.xxhash64("raw"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, docs / max(1, total)))).select(F.substring("raw", 1, chars).alias("raw"))
-    tokens = np.sort(Runs([bytes(r.raw or b"") for r in drawn.limit(4 * docs).collect()]).gram)
-    if len(tokens) >= 40 * n:
-        return np.unique(tokens[(np.arange(1, n) * len(tokens)) // n])
-    return np.array([i * (2**64 // n) for i in range(1, n)], np.uint64)
+    runs = Runs([bytes(r.raw or b"") for r in drawn.limit(4 * docs).collect()])
+    gram = np.sort(runs.gram)
+    evenly = lambda m, size: (np.arange(1, m) * size) // m
+    if len(gram) >= 40 * n:
+        first = np.unique(gram[evenly(n, len(gram))])
+    else:
+        first = np.array([i * (2**64 // n) for i in range(1, n)], np.uint64)
+    # of anchors only the first token parts, so that all of one anchor's meet
+    anchors = Splitters(first, np.zeros(len(first), np.uint64))
+    open_ = judge_anchors(runs.gram, runs.whole, np.ones(len(runs.gram), np.uint8)) >= _OPEN
+    chosen = []
+    for wanted, step, m in ((np.ones(len(open_), bool), 7, n - n // 2), (open_, 1, n // 2)):
+        found = [(t1[::step].copy(), t2[::step].copy()) for _, _, t1, t2 in runs.suffixes(wanted)]
+        if found and m > 1:
+            t1, t2 = (np.concatenate([x[i] for x in found]) for i in (0, 1))
+            pick = np.lexsort((t2, t1))[evenly(m, len(t1))]
+            chosen.append(np.stack([t1[pick], t2[pick]], 1))
+    both = np.unique(np.concatenate(chosen), axis=0) if chosen else np.zeros((0, 2), np.uint64)
+    return anchors, Splitters(both[:, 0].copy(), both[:, 1].copy())
 
 
 def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -246,62 +323,69 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     Texts are UTF-8 bytes, null is empty; removed is each byte that a string of 200 bytes covers which also starts
     anywhere else, in the same text or another, as judged on the input. ``kept`` may cut a character. Repeated rows
-    count as texts of their own. Texts under 200 bytes stay whole. Ids may be null or repeat; an empty table gives no rows.
+    count as texts of their own and are dealt to blocks by their place in the scan, so an input without a stable
+    order of rows should be a written table. Texts under 200 bytes stay whole. Ids may be null or repeat; an empty
+    table gives no rows. Strings are told apart by their first 8 bytes and 64 bits of fingerprint.
     """
     spark = docs.sparkSession
     short_batches(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("raw"))
     n = n_blocks(docs, BLOCK_BYTES)
-    splitters = _splitters(rows, n)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "raw"), F.lit(n)).cast("int")).repartition(n, "block")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // BLOCKS_PER_BUCKET))
+    of_anchors, of_suffixes = _splitters(rows, buckets)
+    # repeated rows are no hot block: their places differ
+    place = F.xxhash64(F.col("doc_id").cast("string"), F.monotonically_increasing_id())
+    dealt = rows.withColumn("block", F.pmod(place, F.lit(n)).cast("int")).repartition(n, "block")
 
     def anchors(t: pa.Table) -> pa.Table:
         runs = Runs(_texts(t))
-        pick, again, _ = _distinct(runs.gram, runs.whole)
-        return pa.Table.from_pylist(_sent(t.column("block")[0].as_py(), _ANCHOR, splitters, runs.gram[pick], runs.whole[pick], again), schema=_SENT)
-
-    def judged(t: pa.Table) -> pa.Table:
-        t = t.sort_by("block")  # the representative is that of the least block: a task that runs again answers alike
-        keys = [np.frombuffer(x, np.uint64) for x in t.column("keys").to_pylist()]
-        sizes = [len(k) for k in keys]
-        again = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=m).astype(bool) for x, m in zip(t.column("again").to_pylist(), sizes)])
-        first, kind = np.concatenate(keys), t.column("kind")[0].as_py()
-        if (np.searchsorted(splitters, first, side="right") != t.column("bucket")[0].as_py()).any():
-            raise RuntimeError("a suffix lies outside its bucket's range")
-        second = np.concatenate([np.frombuffer(x, np.uint64 if kind == _ANCHOR else np.uint32) for x in t.column("more").to_pylist()])
-        flags = np.split((judge_anchors if kind == _ANCHOR else judge_suffixes)(first, second, again), np.cumsum(sizes)[:-1])
-        return pa.table([t.column("block"), t.column("kind"), t.column("bucket"), pa.array([f.tobytes() for f in flags], pa.binary())], schema=_BACK)
-
-    def decided(runs: Runs, back: pa.Table) -> np.ndarray:
+        pick, times, _ = _distinct(runs.gram, runs.whole)
+        return pa.Table.from_pylist(_sent(t.column("block")[0].as_py(), 0, of_anchors, runs.gram[pick], runs.whole[pick], times), schema=_SENT)
+
+    def judged(kind: int):
+        splitters, judge = ((of_anchors, judge_anchors), (of_suffixes, judge_suffixes))[kind]
+
+        def run(t: pa.Table) -> pa.Table:
+            t = t.sort_by([("block", "ascending"), ("part", "ascending")])  # the representative is that of the least block: a task that runs again answers alike
+            first, second = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint64) for c in ("first", "second"))
+            sizes = np.array([len(x) for x in t.column("times").to_pylist()])
+            times = np.frombuffer(b"".join(t.column("times").to_pylist()), np.uint8)
+            if not splitters.holds(t.column("bucket")[0].as_py(), first, second):
+                raise RuntimeError("a key lies outside its bucket's range")
+            flags = np.split(judge(first, second, times), np.cumsum(sizes)[:-1])
+            kinds = pa.array(np.full(t.num_rows, kind), pa.int32())
+            return pa.table([t.column("block"), kinds, t.column("part"), t.column("bucket"), pa.array([f.tobytes() for f in flags], pa.binary())], schema=_BACK)
+
+        return run
+
+    def decided(runs: Runs, back: dict) -> np.ndarray:
         pick, _, place = _distinct(runs.gram, runs.whole)
-        return _answers(back, _ANCHOR, len(pick))[place]
+        return _answers(back, _ANCHOR, 0, of_anchors, runs.gram[pick], runs.whole[pick])[place]
 
     def suffixes(t: pa.Table, back: pa.Table) -> pa.Table:
         if not t.num_rows:
             return _SENT.empty_table()
-        runs = Runs(_texts(t))
-        found = list(runs.suffixes(decided(runs, back) >= _OPEN))
-        if not found:
-            return _SENT.empty_table()
-        t1, t2 = (np.concatenate([x[i] for x in found]) for i in (2, 3))
-        pick, again, _ = _distinct(t1, t2)
-        return pa.Table.from_pylist(_sent(t.column("block")[0].as_py(), _SUFFIX, splitters, t1[pick], t2[pick], again), schema=_SENT)
+        runs, block, out = Runs(_texts(t)), t.column("block")[0].as_py(), []
+        for part, found in enumerate(_portions(runs, decided(runs, _by_portion(back)) >= _OPEN)):
+            t1, t2 = (np.concatenate([x[i] for x in found]) for i in (2, 3))
+            pick, times, _ = _distinct(t1, t2)
+            out.append(pa.Table.from_pylist(_sent(block, part, of_suffixes, t1[pick], t2[pick], times), schema=_SENT))
+        return pa.concat_tables(out) if out else _SENT.empty_table()
 
     kind_of_id = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(t: pa.Table, back: pa.Table) -> pa.Table:
-        texts = _texts(t)
+        texts, answers = _texts(t), _by_portion(back)
         runs = Runs(texts)
-        status = decided(runs, back)
+        status = decided(runs, answers)
         steps: list[list[tuple[int, int]]] = [[] for _ in texts]
         sure = np.flatnonzero((status == _SETTLED) | (status == _SENDS))
         for i, a, b in zip(runs.doc[sure].tolist(), (runs.off + runs.first)[sure].tolist(), (runs.off + runs.last)[sure].tolist()):
             steps[i].append((a, b))
-        found = list(runs.suffixes(status >= _OPEN))
-        if found:
+        for part, found in enumerate(_portions(runs, status >= _OPEN)):
             t1, t2 = (np.concatenate([x[i] for x in found]) for i in (2, 3))
             pick, _, place = _distinct(t1, t2)
-            again = np.split(_answers(back, _SUFFIX, len(pick))[place].astype(bool), np.cumsum([len(x[1]) for x in found])[:-1])
+            again = np.split((_answers(answers, _SUFFIX, part, of_suffixes, t1[pick], t2[pick]) > 1)[place], np.cumsum([len(x[1]) for x in found])[:-1])
             for (i, start, _, _), hit in zip(found, again):
                 if hit.any():
                     s = start[hit]
@@ -326,6 +410,6 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         return pa.table({"doc_id": t.column("doc_id"), "n_bytes": pa.array(list(map(len, texts)), pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
 
     by = lambda df: df.groupBy("block")
-    first = by(dealt).applyInArrow(anchors, _SENT_DDL).groupBy("bucket", "kind").applyInArrow(judged, _BACK_DDL)
-    second = by(dealt).cogroup(by(first)).applyInArrow(suffixes, _SENT_DDL).groupBy("bucket", "kind").applyInArrow(judged, _BACK_DDL)
+    first = by(dealt).applyInArrow(anchors, _SENT_DDL).groupBy("bucket").applyInArrow(judged(_ANCHOR), _BACK_DDL)
+    second = by(dealt).cogroup(by(first)).applyInArrow(suffixes, _SENT_DDL).groupBy("bucket").applyInArrow(judged(_SUFFIX), _BACK_DDL)
     return by(dealt).cogroup(by(first.unionByName(second))).applyInArrow(cut, f"doc_id {kind_of_id}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
