@@ -253,8 +253,11 @@ def _sent(block: int, part: int, splitters: Splitters, first: np.ndarray, second
     return out
 
 
-def _texts(t: pa.Table) -> list[bytes]:
-    return [x or b"" for x in t.column("raw").to_pylist()]
+def _texts(t: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    """A block's texts in the order of their places, which is the same in every pass, and the rows they come from."""
+    order = np.argsort(t.column("place").to_numpy(), kind="stable")
+    raw = t.column("raw").to_pylist()
+    return [raw[i] or b"" for i in order], order
 
 
 def _answers(back: dict[tuple[int, int], list[tuple[int, bytes]]], kind: int, part: int, splitters: Splitters, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -335,10 +338,10 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     of_anchors, of_suffixes = _splitters(rows, buckets)
     # repeated rows are no hot block: their places differ
     place = F.xxhash64(F.col("doc_id").cast("string"), F.monotonically_increasing_id())
-    dealt = rows.withColumn("block", F.pmod(place, F.lit(n)).cast("int")).repartition(n, "block")
+    dealt = rows.withColumn("place", place).withColumn("block", F.pmod("place", F.lit(n)).cast("int")).repartition(n, "block")
 
     def anchors(t: pa.Table) -> pa.Table:
-        runs = Runs(_texts(t))
+        runs = Runs(_texts(t)[0])
         pick, times, _ = _distinct(runs.gram, runs.whole)
         return pa.Table.from_pylist(_sent(t.column("block")[0].as_py(), 0, of_anchors, runs.gram[pick], runs.whole[pick], times), schema=_SENT)
 
@@ -365,7 +368,7 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     def suffixes(t: pa.Table, back: pa.Table) -> pa.Table:
         if not t.num_rows:
             return _SENT.empty_table()
-        runs, block, out = Runs(_texts(t)), t.column("block")[0].as_py(), []
+        runs, block, out = Runs(_texts(t)[0]), t.column("block")[0].as_py(), []
         for part, found in enumerate(_portions(runs, decided(runs, _by_portion(back)) >= _OPEN)):
             t1, t2 = (np.concatenate([x[i] for x in found]) for i in (2, 3))
             pick, times, _ = _distinct(t1, t2)
@@ -375,7 +378,7 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     kind_of_id = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(t: pa.Table, back: pa.Table) -> pa.Table:
-        texts, answers = _texts(t), _by_portion(back)
+        (texts, order), answers = _texts(t), _by_portion(back)
         runs = Runs(texts)
         status = decided(runs, answers)
         steps: list[list[tuple[int, int]]] = [[] for _ in texts]
@@ -407,7 +410,7 @@ def repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             kept.append(b"".join([*parts, raw[at:]]) if merged else raw)
             spans.append([{"start": a, "end": b} for a, b in merged])
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.table({"doc_id": t.column("doc_id"), "n_bytes": pa.array(list(map(len, texts)), pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
+        return pa.table({"doc_id": t.column("doc_id").take(pa.array(order)), "n_bytes": pa.array(list(map(len, texts)), pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
 
     by = lambda df: df.groupBy("block")
     first = by(dealt).applyInArrow(anchors, _SENT_DDL).groupBy("bucket").applyInArrow(judged(_ANCHOR), _BACK_DDL)
