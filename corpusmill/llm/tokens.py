@@ -39,8 +39,15 @@ class ByteBPE:
         self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.sizes[i] = len(token)
+        self.spaced = [i for token, i in ranks.items() if token.startswith(b" ")]
         self.plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    def begin_with_space(self, n: int) -> np.ndarray:
+        """For the first ``n`` ids, whether their tokens begin with a space."""
+        out = np.zeros(n, bool)
+        out[[i for i in self.spaced if i < n]] = True
+        return out
+
     def whole(self, text: str) -> np.ndarray:
         return np.array((self.exact if any(s in text for s in self.specials) else self.plain)(text), dtype="<u4")
 
