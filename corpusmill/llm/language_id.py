@@ -1,146 +1,131 @@
 """Language identification by cross-parsing entropy.
 
-Per language, the distinct words of a bounded sample of labelled text make a suffix automaton. A text's words are cut,
-from left to right, into the longest phrases that occur in a language's words; the language that needs the fewest
-phrases, normalised by what a phrase costs to point at in that much text, wins. Phrases end with their word, so what a
-word needs is known once for all its occurrences.
+Per language, a bounded sample of labelled text makes a suffix automaton. A text is cut, from left to right, into the
+longest phrases that occur anywhere in a language's sample, over words' bounds as well as within them; the language that needs the
+fewest phrases, normalised by what a phrase costs to point at in that much text, wins.
 """
 
 from __future__ import annotations
 
 import functools
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from corpusmill.llm.common import in_training, short_batches
 
-#: Characters of labelled text that are learnt per language, and of one document among them.
-SAMPLE_CHARS = 150_000
-SAMPLE_DOC_CHARS = 5_000
-#: Words whose phrase counts a Python worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 40
+#: Characters of labelled text that are learnt per language, in stretches from hashed places of documents.
+SAMPLE_CHARS, STRETCH_CHARS = 24_000, 1_000
 #: Bits of difference in description length that make the likelier language e times as likely.
 BITS_PER_NAT = 12.0
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Stands between the stretches of a sample; no text holds it once it is reduced to words.
+_BREAK = "\n"
+_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+
+
+def reduced(text: str | None) -> str:
+    """A text's words, which are letters and their marks, in lower case between single spaces; without letters: ''."""
+    words = _WORDS.findall((text or "").lower())
+    return f" {' '.join(words)} " if words else ""
 
 
 class SuffixAutomaton:
-    """All substrings of a set of words; states are dictionaries from a character to the next state."""
-
-    def __init__(self, words: list[str]):
-        self.next: list[dict[str, int]] = [{}]
-        link, length = [-1], [0]
-        for word in words:
-            last = 0
-            for c in word:
-                if c in self.next[last] and length[self.next[last][c]] == length[last] + 1:
-                    last = self.next[last][c]
-                    continue
-                cur = len(self.next)
-                self.next.append({})
-                length.append(length[last] + 1)
-                link.append(0)
-                p = last
-                while p >= 0 and c not in self.next[p]:
-                    self.next[p][c] = cur
-                    p = link[p]
-                if p >= 0:
-                    q = self.next[p][c]
-                    if length[q] == length[p] + 1:
-                        link[cur] = q
-                    else:
-                        clone = len(self.next)
-                        self.next.append(dict(self.next[q]))
-                        length.append(length[p] + 1)
-                        link.append(link[q])
-                        while p >= 0 and self.next[p].get(c) == q:
-                            self.next[p][c] = clone
-                            p = link[p]
-                        link[q] = link[cur] = clone
-                last = cur
-        self.size = sum(map(len, words)) + 1
-
-    def phrases(self, word: str) -> int:
-        """Number of phrases of the greedy parse; a character that no word holds is one more than its own phrase."""
-        steps = self.next
-        root = steps[0]
-        count, at = 1, root
-        for c in word:
-            to = at.get(c)
-            if to is None:
+    """All substrings of a text; a state is a dictionary from a character to the next state."""
+
+    def __init__(self, text: str):
+        steps: list[dict] = [{}]
+        link, length, last = [-1], [0], 0
+        for c in text:
+            cur = len(steps)
+            steps.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            p = last
+            while p >= 0 and c not in steps[p]:
+                steps[p][c] = cur
+                p = link[p]
+            if p >= 0:
+                q = steps[p][c]
+                if length[q] == length[p] + 1:
+                    link[cur] = q
+                else:
+                    clone = len(steps)
+                    steps.append(dict(steps[q]))
+                    length.append(length[p] + 1)
+                    link.append(link[q])
+                    while p >= 0 and steps[p].get(c) == q:
+                        steps[p][c] = clone
+                        p = link[p]
+                    link[q] = link[cur] = clone
+            last = cur
+        # states by themselves instead of by number: one look-up a character
+        for s in steps:
+            for c, i in s.items():
+                s[c] = steps[i]
+        self.root, self.size = steps[0], len(text) + 1
+
+    def phrases(self, text: str) -> int:
+        """Number of phrases of the greedy parse; a character that the text lacks is one more than its own phrase."""
+        root, nothing = self.root, {}
+        count, at = 0, nothing
+        for c in text:
+            at = at.get(c)
+            if at is None:
                 count += 1
-                to = root.get(c)
-                if to is None:
-                    count, to = count + 1, 0
-            at = steps[to]
+                at = root.get(c)
+                if at is None:
+                    count, at = count + 1, nothing
         return count
 
 
 class Identifier:
-    """The automata of all languages, and the costs of words that were seen before."""
+    """The automata of all languages."""
 
-    def __init__(self, words: dict[str, list[str]]):
-        self.languages = sorted(words)
-        self.automata = [SuffixAutomaton(words[x]) for x in self.languages]
+    def __init__(self, samples: dict[str, str]):
+        self.languages = sorted(samples)
+        self.automata = [SuffixAutomaton(samples[x]) for x in self.languages]
         self.bits = np.array([math.log2(a.size) for a in self.automata])
-        self.row: dict[str, int] = {}
-        self.cost = np.zeros((REMEMBERED, len(self.languages)), np.float32)
-
-    def _of(self, words: list[str]) -> np.ndarray:
-        return np.array([[a.phrases(w) for a in self.automata] for w in [f" {w} " for w in words]], np.float32) * self.bits
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = _LETTERS.findall((text or "").lower())
+        words = reduced(text)
         if not words or not self.languages:
             return UNDETERMINED, 0.0
-        unseen = set(words).difference(self.row)
-        total = np.zeros(len(self.languages))
-        alone = {w for w in unseen if len(w) > LONGEST}
-        if len(self.row) + len(unseen) > REMEMBERED:
-            self.row.clear()
-            unseen = set(words)
-        if len(unseen) > REMEMBERED // 2:
-            alone = unseen
-        if new := list(unseen - alone):
-            at = len(self.row)
-            self.cost[at : at + len(new)] = self._of(new)
-            self.row.update(zip(new, range(at, at + len(new))))
-        if alone:
-            total += self._of([w for w in words if w in alone]).sum(0, dtype=np.float64)
-            words = [w for w in words if w not in alone]
-        if words:
-            total += self.cost[np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))].sum(0, dtype=np.float64)
+        total = np.array([a.phrases(words) for a in self.automata]) * self.bits
         best = int(total.argmin())
         score = 1.0 / np.exp(np.minimum(0.0, (total[best] - total) / BITS_PER_NAT)).sum()
         return self.languages[best], float(score)
 
 
-def sample(docs: DataFrame, *, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """The distinct words of at most ``chars`` characters per language, from rows (doc_id, text, lang).
+def sample(docs: DataFrame, *, chars: int = SAMPLE_CHARS) -> dict[str, str]:
+    """At most ``chars`` characters per language that has any text, from rows (doc_id, text, lang), and a stretch more.
 
-    The share of each language that is drawn follows from its total, so that only a few times ``chars`` are ordered.
+    The share of each language that is drawn follows from its total, so that only a few times ``chars`` are ordered. The
+    driver and every worker hold the samples: their number is that of the languages.
     """
-    rows = docs.where("lang is not null and text is not null").select("lang", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"), F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
-    total = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("total"))
-    # a row per language, of which the driver is about to hold a sample each anyway: small enough to broadcast, so that
-    # only what is drawn is shuffled by language
-    drawn = rows.join(F.broadcast(total), "lang").where(F.pmod("h", F.lit(1 << 20)) < 4.0 * (chars + 20 * SAMPLE_DOC_CHARS) / F.col("total") * (1 << 20))
-    before = F.sum(F.length("text")).over(W.partitionBy("lang").orderBy("h").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.length("text")
-    words: dict[str, set[str]] = {}
+    h = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    rows = docs.where("lang is not null and text is not null").select("lang", h.alias("h"), "text")
+    place = F.pmod(F.shiftright("h", 20), F.greatest(F.length("text") - STRETCH_CHARS, F.lit(0)) + 1) + 1
+    rows = rows.select("lang", "h", F.substring("text", place, F.lit(STRETCH_CHARS)).alias("text"))
+    total = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("total")).where("total > 0")
+    # a row per language: Spark broadcasts it by its size, and then only what is drawn is shuffled by language
+    drawn = rows.join(total, "lang").where(F.pmod("h", F.lit(1 << 20)) < 4.0 * (chars + 20 * STRETCH_CHARS) / F.col("total") * (1 << 20))
+    before = F.sum(F.length("text")).over(W.partitionBy("lang").orderBy("h", "text").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.length("text")
+    found: dict[str, list[str]] = {}
     for r in drawn.withColumn("before", before).where(F.col("before") < chars).select("lang", "text").collect():
-        words.setdefault(r.lang, set()).update(_LETTERS.findall(r.text.lower()))
-    return {lang: [f" {w} " for w in sorted(ws)] for lang, ws in words.items() if ws}
+        if words := reduced(r.text):
+            found.setdefault(r.lang, []).append(words)
+    return {lang: _BREAK.join(sorted(x)) for lang, x in found.items()}
 
 
 @functools.lru_cache(maxsize=1)
-def _identifier(key: str, packed: tuple[tuple[str, str], ...]) -> Identifier:
-    return Identifier({lang: text.split("\n") for lang, text in packed})
+def _identifier(packed: tuple[tuple[str, str], ...]) -> Identifier:
+    """One per Python worker."""
+    return Identifier(dict(packed))
 
 
 def identify(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", modulus: int = 5, held: int = 0) -> DataFrame:
@@ -152,13 +137,11 @@ def identify(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lan
     """
     short_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    words = sample(rows.where(in_training("doc_id", modulus, held)))
     # bounded by SAMPLE_CHARS for each language
-    packed = tuple((k, "\n".join(v)) for k, v in sorted(words.items()))
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(sample(rows.where(in_training("doc_id", modulus, held))).items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _identifier(str(hash(shared.value)), shared.value)
+        model = _identifier(shared.value)
         for b in batches:
             found = [model.predict(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"])

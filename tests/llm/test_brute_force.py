@@ -65,16 +65,33 @@ def test_op2_held_out_accuracy(spark, sf):
     assert sum(lang[r.doc_id] == r.lang_pred for r in held) >= 0.95 * len(held)
 
 
-def test_op2_automaton_holds_all_substrings():
-    import itertools
-
+def test_op2_parse_equals_longest_matches():
+    """Phrases cross words: the longest match of what is left, again and again, by plain search in the sample."""
     from corpusmill.llm.language_id import SuffixAutomaton
 
-    words = ["abcab", "xbc", "aab"]
-    a = SuffixAutomaton(words)
-    for n in range(1, 6):
-        for s in map("".join, itertools.product("abcx", repeat=n)):
-            assert (a.phrases(s) == 1) == any(s in w for w in words)
+    rng = random.Random(8)
+    for _ in range(300):
+        sample = "".join(rng.choice("ab c") for _ in range(rng.randint(1, 40)))
+        automaton = SuffixAutomaton(sample)
+        text = "".join(rng.choice("ab cx") for _ in range(rng.randint(1, 30)))
+        count, at = 0, 0
+        while at < len(text):
+            n = 1
+            while at + n < len(text) and text[at : at + n + 1] in sample:
+                n += 1
+            unknown = text[at] not in sample
+            count, at = count + 1 + unknown, at + (1 if unknown else n)
+        assert automaton.phrases(text) == count
+
+
+def test_op2_letters_and_languages_without_text(spark):
+    from corpusmill.llm.language_id import identify, reduced
+
+    assert reduced("½ ² Ⅷ ① 12_") == "" and reduced("Élan 3 vital") == " élan vital "
+    rows = [(i, "the cat and the dog", "en") for i in range(1, 8)] + [(20 + i, "", "xx") for i in range(6)] + [(40, "½ ² Ⅷ ①", "en"), (41, None, "en"), (42, "le chat", None), (43, "x", "")]
+    by = {r.doc_id: r for r in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert by[40].lang_pred == by[41].lang_pred == by[20].lang_pred == "und" and by[42].lang_pred in ("en", "") and by[1].lang_pred == "en"
+    assert "xx" not in {r.lang_pred for r in by.values()}
 
 
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
