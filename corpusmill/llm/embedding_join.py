@@ -5,8 +5,11 @@ their nearest pivot. A vector is also sent to every cell that could hold a partn
 within r of x stay in x's cell unless x is within r of the plane midway between the two pivots. Cells join independently;
 large ones are cut into tiles of bounded size. A tile returns counts and a spanning forest of its links, never all pairs.
 
-In data without clusters every plane is near and the join compares all with all, in tiles; pivots only help where there
-is structure. Equal vectors are compared once, with their number.
+How many pivots there are follows from the data: for 1, 4, 16, ... up to an eighth of the vectors a sample tells with how
+many vectors one would be compared and to how many cells it would be sent. In clustered data cells stay about as large
+as clusters. In data without clusters every plane is near, one cell is as good as many, and the join compares all with
+all, in tiles; so it does within cells beyond the PIVOT_BYTES that tasks may get. Equal vectors are compared once, with
+their number.
 """
 
 from __future__ import annotations
@@ -21,7 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 from corpusmill.llm.common import components, saved
 
 COSINE = 0.95
-PIVOTS, ROWS_PER_PIVOT = 64, 4096
+#: Bytes of pivots that tasks may get, vectors by which their number is judged, and cells that a vector may go to on average.
+PIVOT_BYTES, JUDGED, MEAN_CELLS = 16 << 20, 1024, 24
+#: Distances to pivots that are held at a time.
+DISTANCES = 1 << 21
 #: Rows on either side of a tile, and of the blocks in which it is multiplied out.
 TILE, BLOCK = 8192, 1024
 
@@ -50,6 +56,49 @@ def _components(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = new
 
 
+def cells(x: np.ndarray, p: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest pivot of each unit vector, whether a vector within ``radius`` of it may belong to each pivot)."""
+    square = np.maximum(0, 2 - 2 * x @ p.T)
+    home = square.argmin(1)
+    apart = np.sqrt(np.maximum(0, 2 - 2 * p[home] @ p.T)) + 1e-9
+    sent = square - square.min(1, keepdims=True) <= 2 * radius * apart
+    sent[np.arange(len(x)), home] = True
+    return home, sent
+
+
+def spread(x: np.ndarray, radius: float) -> np.ndarray:
+    """The vectors, in order, that are more than two radii away from all taken before: one or a few of each cluster."""
+    taken = x[:1]
+    for lo in range(1, len(x), 256):
+        part = x[lo : lo + 256]
+        part = part[(2 - 2 * part @ taken.T).min(1) > 4 * radius**2]
+        own: list[np.ndarray] = []
+        for v in part:
+            if all(2 - 2 * v @ w > 4 * radius**2 for w in own):
+                own.append(v)
+        if own:
+            taken = np.concatenate([taken, own])
+    return taken
+
+
+def chosen_pivots(vectors: np.ndarray, total: int, radius: float) -> np.ndarray:
+    """As many of some unit ``vectors``, in random order, as make the fewest comparisons; the last of them judge."""
+    judges = vectors[-JUDGED:]
+    most = max(1, min(len(vectors) - len(judges), total // 8, PIVOT_BYTES // (8 * vectors.shape[1])))
+    apart = spread(vectors[:most], radius)
+    best, cost, n = apart[:1], float(total), 1
+    while n < len(apart):
+        n = min(4 * n, len(apart))
+        p = apart[:n]
+        home, sent = cells(judges, p, radius)
+        share = (np.bincount(home, minlength=len(p)) + 1 / len(p)) / (len(judges) + 1)
+        # a distance to a pivot costs twice: from the vector, and from its nearest pivot
+        now = total * float((sent @ share).mean()) + 2 * len(p)
+        if now < 0.7 * cost and sent.sum(1).mean() <= MEAN_CELLS:
+            best, cost = p, now
+    return best
+
+
 def _tile(kind: str, cosine: float):
     def run(t: pa.Table) -> pa.Table:
         role = t.column("role").to_numpy()
@@ -106,12 +155,14 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: st
     groups = rows.where("v is not null").groupBy(*keys).agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.first("v").alias("v"))
     groups = saved(groups.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("v")))
     total = groups.count()
-    chosen = groups.orderBy(F.xxhash64("k1", "k2")).limit(max(1, min(PIVOTS, total // ROWS_PER_PIVOT))).select("v").collect()
+    radius = math.sqrt(2 - 2 * cosine) * (1 + 1e-9) + 1e-9
+    # a sample of bounded size: that of the pivots, and their judges
+    width = groups.agg(F.max("dim")).first()[0] or 1
+    chosen = groups.orderBy(F.xxhash64("k1", "k2"), "k1", "k2").limit(JUDGED + max(1, min(total // 8, PIVOT_BYTES // (8 * width)))).select("v").collect()
     by_size: dict[int, list[list[float]]] = {}
     for r in chosen:
         by_size.setdefault(len(r.v), []).append(r.v)
-    pivots = {d: np.unique(unit(np.array(v)), axis=0) for d, v in by_size.items()}
-    radius = math.sqrt(2 - 2 * cosine) * (1 + 1e-9) + 1e-9
+    pivots = {d: chosen_pivots(unit(np.array(v)), total, radius) for d, v in by_size.items()}
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -126,13 +177,9 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: st
                 if p is None or len(p) == 1:
                     home, sent = np.zeros(len(own), np.int64), np.ones((len(own), 1), bool)
                 else:
-                    x = unit(np.stack([raw[i] for i in own]))
-                    square = np.maximum(0, 2 - 2 * x @ p.T)
-                    home = square.argmin(1)
-                    apart = np.linalg.norm(p[home][:, None, :] - p[None], axis=2)
-                    gap = square - square.min(1, keepdims=True)
-                    sent = gap <= 2 * radius * apart
-                    sent[np.arange(len(own)), home] = True
+                    step = max(1, DISTANCES // len(p))
+                    found = [cells(unit(np.stack([raw[i] for i in own[lo : lo + step]])), p, radius) for lo in range(0, len(own), step)]
+                    home, sent = (np.concatenate([f[k] for f in found]) for k in (0, 1))
                 i, c = np.nonzero(sent)
                 at += [own, own[i]]
                 cell += [home, c]
