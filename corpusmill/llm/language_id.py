@@ -20,6 +20,8 @@ from corpusmill.llm.common import in_training, short_batches
 
 #: Characters of labelled text that are learnt per language, in stretches from hashed places of documents.
 SAMPLE_CHARS, STRETCH_CHARS = 24_000, 1_000
+#: The number of languages up to which their totals are broadcast.
+BROADCAST_LANGUAGES = 10_000
 #: Bits of difference in description length that make the likelier language e times as likely.
 BITS_PER_NAT = 12.0
 UNDETERMINED = "und"
@@ -112,8 +114,9 @@ def sample(docs: DataFrame, *, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     place = F.pmod(F.shiftright("h", 20), F.greatest(F.length("text") - STRETCH_CHARS, F.lit(0)) + 1) + 1
     rows = rows.select("lang", "h", F.substring("text", place, F.lit(STRETCH_CHARS)).alias("text"))
     total = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("total")).where("total > 0")
-    # a row per language: Spark broadcasts it by its size, and then only what is drawn is shuffled by language
-    drawn = rows.join(total, "lang").where(F.pmod("h", F.lit(1 << 20)) < 4.0 * (chars + 20 * STRETCH_CHARS) / F.col("total") * (1 << 20))
+    # a row per language; as long as they are few it is broadcast, so that only what is drawn is shuffled by language
+    few = total.count() <= BROADCAST_LANGUAGES
+    drawn = rows.join(F.broadcast(total) if few else total, "lang").where(F.pmod("h", F.lit(1 << 20)) < 4.0 * (chars + 20 * STRETCH_CHARS) / F.col("total") * (1 << 20))
     before = F.sum(F.length("text")).over(W.partitionBy("lang").orderBy("h", "text").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.length("text")
     found: dict[str, list[str]] = {}
     for r in drawn.withColumn("before", before).where(F.col("before") < chars).select("lang", "text").collect():
