@@ -8,7 +8,7 @@ round-robin's. Due times are global, so deficits carry over partitions as over w
 
 Quanta are cut while a partition tokenizes, so no ids are stored: a partition's queue of a source is cut into
 whole quanta and a rest of less than one, which is cut into powers of two. Rests follow the quanta, larger ones
-first: powers of two in falling order fill every window to its end. What is left at the very end is cut into
+first and those of one size in turn by source: powers of two in falling order fill every window to its end. What is left at the very end is cut into
 sequences whose lengths are powers of two, so no sequence needs padding.
 """
 
@@ -113,8 +113,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
 
     A document is its text's ids and one end id (1); a null or empty text is the end id alone. Every id lies in
     exactly one piece; sequences are full (2048) but for the last ones, whose lengths are powers of two. Sources
-    (null is one) get windows in proportion to ``weights`` (source, weight) or, without, to their tokens; a source
-    that runs out leaves its share to the others. Repeated rows and ids are packed as often as they occur; null ids
+    (null is one) get windows in proportion to ``weights`` (source, weight; a source that has none weighs 1, one of weight
+    0 or less comes after all others) or, without, to their tokens; a source that runs out leaves its share to the others. Repeated rows and ids are packed as often as they occur; null ids
     are kept. An empty table gives no pieces.
     """
     short_batches(docs.sparkSession)
@@ -130,11 +130,15 @@ def pack(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
         total = total.drop("w").join(weights.select(F.col("source").alias("__s"), F.col("weight").cast("double").alias("w")), F.col("source").eqNullSafe(F.col("__s")), "left").select("source", F.coalesce("w", F.lit(1.0)).alias("w"))
     here = here.join(total.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).select("source", "pid", "first", "w")
     own = F.row_number().over(W.partitionBy("source", "pid").orderBy("item")) - 1
-    due = (F.col("first") + F.col("own") + 0.5) / F.col("w")
+    place = F.col("first") + F.col("own") + 0.5
+    due = F.when(F.col("w") > 0, place / F.when(F.col("w") > 0, F.col("w"))).otherwise(float("inf"))
     key = F.struct(F.coalesce("source", F.lit("")).alias("s"), "pid", "item")
     quanta = quanta.withColumn("own", own).withColumnRenamed("source", "__s").withColumnRenamed("pid", "__p")
     quanta = quanta.join(here, F.col("__p").eqNullSafe(F.col("pid")) & F.col("__s").eqNullSafe(F.col("source"))).select("source", "pid", "item", "size", due.alias("due"))
-    rests = item.where(F.col("size") < QUANTUM).select("source", "pid", "item", "size", F.lit(0.0).alias("due"))
+    # rests of one size are served in turn as well: a source's k-th of n falls due at (k - 1/2) / n; one a partition at most
+    alike = W.partitionBy("source", "size")
+    turn = (F.row_number().over(alike.orderBy("pid", "item")) - 0.5) / F.count("*").over(alike)
+    rests = item.where(F.col("size") < QUANTUM).select("source", "pid", "item", "size", turn.alias("due"))
     placed = _ranked(quanta.unionByName(rests).select("pid", "item", "size", "due", key.alias("k")), [F.desc("size"), F.col("due"), F.col("k")], F.col("size").cast("long"), "position")
     placed = placed.select(F.col("pid").alias("__p"), F.col("item").alias("__i"), "position")
     whole = item.agg(F.sum("size").cast("long").alias("all_tokens"))
