@@ -102,21 +102,15 @@ def anchor(text: Column, age: Column, gender: Column, dialect: Column, multi: Co
     return udfs.blake2b_hex(F.concat_ws("\n", text, age, gender, dialect, F.when(multi, "True").otherwise("False")))
 
 
-SYSTEM_PROMPT = """You restructure Arabic dialogue. You are given one authentic transcript and who speaks. Put it as a short JSON \
-dialogue of two turns in the same Saudi dialect. Invent no facts, keep the dialect, add no English.
+SYSTEM_PROMPT = """Reply in json. From what a speaker said, write an exchange that could really have taken place: the speaker's words first, then one answer. Both sides use the speaker's own Saudi dialect and say nothing that the words don't support.
 
-Answer with one JSON object of three keys only:
-- "user": the first turn
-- "assistant": the reply
-- "dialect": "najdi" or "hijazi"
-
-Example JSON:
-{"user": "شلونك اليوم؟", "assistant": "بخير، الحمد لله", "dialect": "najdi"}"""
+The json object has exactly these fields, each a string: "user" (the speaker), "assistant" (the answer), "dialect" ("najdi" or "hijazi", whichever the speaker uses)."""
 
 
 def user_prompt(text: Column, age: Column, gender: Column, dialect: Column, multi: Column) -> Column:
-    several = F.when(multi, F.lit(" (Several speakers: keep their turns.)")).otherwise(F.lit(""))
-    return F.concat(F.lit("Persona: "), gender, F.lit(", "), age, F.lit(", speaking "), dialect, F.lit("."), several, F.lit("\nAnchor transcript: "), text, F.lit("\nProduce the JSON dialogue."))
+    """One field a line: who speaks, whether there are several, and what was said, which comes last."""
+    line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\n"))
+    return F.concat(line("gender", gender), line("age", age), line("dialect", dialect), line("speakers", F.when(multi, F.lit("several")).otherwise(F.lit("one"))), F.lit("said: "), text)
 
 
 def request_body(user: Column, model: str, max_tokens: int, thinking: bool = False) -> Column:

@@ -5,12 +5,15 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from corpusmill.functions import patterns as P
+
 
 def _each(f, kind):
     """An Arrow UDF of one string column; null stays null."""
@@ -24,7 +27,8 @@ def _each(f, kind):
 
 def nfc(text: Column) -> Column:
     """Canonical composition; ASCII text takes no detour through Python."""
-    return F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(_each(lambda x: unicodedata.normalize("NFC", x), "string")(text))
+    other = F.when(~text.rlike(r"^\p{ASCII}*$"), text)
+    return F.coalesce(_each(lambda x: unicodedata.normalize("NFC", x), "string")(other), text)
 
 
 def blake2b_hex(text: Column, size: int = 16) -> Column:
@@ -36,26 +40,20 @@ def blake2b_bucket(text: Column, buckets: int) -> Column:
     return _each(lambda x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") % buckets, "long")(text)
 
 
+_FENCED = re.compile(r"```(?:json)?(.*)```", re.S | re.I)
+#: A whole string, to its end or the text's, or a brace outside strings.
+_MARKS = re.compile(r'"(?:[^"\\]++|\\.?+)*+(?:"|\Z)|[{}]', re.S)
+
+
 def first_json_object(text: str) -> str | None:
     """The first balanced {...} of a text, within a code fence or not; strings may hold braces. None if there is none."""
-    text = text.strip()
-    if text.startswith("```") and text.endswith("```") and len(text) > 6:
-        inner = text[3:-3]
-        text = (inner[4:] if inner[:4].lower() == "json" else inner).strip()
-    start = text.find("{")
-    depth, quoted, skip = 0, False, False
-    for i in range(start, len(text)) if start >= 0 else ():
-        c = text[i]
-        if skip:
-            skip = False
-        elif quoted:
-            skip, quoted = c == "\\", c != '"'
-        elif c == '"':
-            quoted = True
-        elif c in "{}":
-            depth += 1 if c == "{" else -1
-            if not depth:
-                return text[start : i + 1]
+    fenced = _FENCED.fullmatch(text.strip())
+    text = (fenced[1] if fenced else text).strip()
+    start, depth = text.find("{"), 0
+    for m in _MARKS.finditer(text, start) if start >= 0 else ():
+        depth += {"{": 1, "}": -1}.get(m[0], 0)
+        if not depth:
+            return text[start : m.end()]
     return None
 
 
@@ -64,6 +62,73 @@ def extract_json(text: Column) -> Column:
     return _each(first_json_object, "string")(text)
 
 
+def dialogue_of(line: str) -> tuple[str, str, str]:
+    """(user, assistant, dialect) of a JSON object with these keys only, or ValueError: non-empty turns, a target dialect."""
+    pairs: list[tuple[str, object]] = []
+    try:
+        value = json.loads(line, object_pairs_hook=lambda found: pairs.extend(found) or dict(found))
+    except ValueError:
+        raise ValueError("malformed") from None
+    if not isinstance(value, dict):
+        raise ValueError("not an object")
+    if extra := set(value) - {"user", "assistant", "dialect"}:
+        raise ValueError(f"extra key {min(extra)}")
+    if len(value) < 3:
+        raise ValueError("missing key")
+    if not all(isinstance(v, str) for v in value.values()):
+        raise ValueError("not a string")
+    if len(pairs) > 3:
+        raise ValueError("repeated key")
+    if not value["user"] or not value["assistant"]:
+        raise ValueError("empty turn")
+    dialect = value["dialect"].strip().lower()
+    if dialect not in P.DIALECTS:
+        raise ValueError(f"unknown dialect {dialect!r}")
+    return value["user"], value["assistant"], dialect
+
+
+def dialogue(line: Column) -> Column:
+    """The struct (user, assistant, dialect, problem) of a JSON line; problem is null if it is a valid dialogue."""
+
+    @arrow_udf("struct<user: string, assistant: string, dialect: string, problem: string>")
+    def run(v: pa.Array) -> pa.Array:
+        out = []
+        for x in v.to_pylist():
+            try:
+                out.append((*dialogue_of(x), None))
+            except ValueError as e:
+                out.append((None, None, None, str(e)))
+        names = ("user", "assistant", "dialect", "problem")
+        return pa.StructArray.from_arrays([pa.array([o[i] for o in out], pa.string()) for i in range(4)], names=list(names))
+
+    return run(line)
+
+
+def min_hashes(shingles: Column, rows: int) -> Column:
+    """Of an array of strings, the least 8-byte BLAKE2b digest for each of ``rows`` keys, as 16 hexadecimal digits.
+
+    Fixed values: keys are 0 to ``rows`` - 1 as 4 bytes, least first; digests are numbers, least byte first.
+    """
+    keys = [i.to_bytes(4, "little") for i in range(rows)]
+
+    def least(raw: list[bytes], key: bytes) -> str:
+        started = hashlib.blake2b(digest_size=8, key=key)
+
+        def digest(w: bytes) -> bytes:
+            own = started.copy()
+            own.update(w)
+            return own.digest()[::-1]
+
+        return min(map(digest, raw)).hex()
+
+    @arrow_udf("array<string>")
+    def run(v: pa.Array) -> pa.Array:
+        texts = [[w.encode() for w in x or ()] for x in v.to_pylist()]
+        return pa.array([[least(raw, k) for k in keys] if raw else [] for raw in texts], pa.list_(pa.string()))
+
+    return run(shingles)
+
+
 def _strict(x: str) -> bool:
     try:
         json.loads(x)

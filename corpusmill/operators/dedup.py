@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from corpusmill.functions import patterns as P, text as T
-from corpusmill.plans.scratch import saved
+from corpusmill.functions import patterns as P, text as T, udfs
+from corpusmill.plans.scratch import saved, spread
 
 
 def exact_duplicates(df: DataFrame, *, text: str = "text", order: str = "seq") -> DataFrame:
-    """``df`` with is_duplicate: an earlier row has the same canonical text.
+    """``df`` with is_duplicate: an earlier row has the same canonical text. Rows of one ``order`` follow one another as written;
+    a null text is never a duplicate, nor does it make one.
 
-    The first row of each text is found by an aggregate, which pre-aggregates hot texts; no group meets in one task.
+    Canonical texts are hashed once, into a written table. The first row of each is found by an aggregate over hashes and
+    orders alone, which pre-aggregates hot texts; no group meets in one task.
     """
-    keyed = df.withColumn("__key", F.sha2(T.canonical(F.col(text)), 256))
-    first = keyed.groupBy("__key").agg(F.min(order).alias("__first"))
-    return keyed.join(first, "__key").withColumn("is_duplicate", F.col(order) > F.col("__first")).drop("__key", "__first")
+    keyed = saved(spread(df).withColumns({"__key": F.sha2(T.canonical(F.col(text)), 256), "__row": F.monotonically_increasing_id()}))
+    place = F.struct(order, "__row")
+    first = keyed.where("__key is not null").groupBy("__key").agg(F.min(place).alias("__first"))
+    marked = keyed.join(first, "__key", "left").withColumn("is_duplicate", F.coalesce(place > F.col("__first"), F.lit(False)))
+    return marked.select(*df.columns, "is_duplicate")
 
 
 def is_seen(df: DataFrame, seen: DataFrame, *, text: str = "text") -> DataFrame:
@@ -27,7 +30,7 @@ def is_seen(df: DataFrame, seen: DataFrame, *, text: str = "text") -> DataFrame:
 def shingled(df: DataFrame, *, text: str = "text", order: str = "seq", ngram: int = P.NGRAM, fewest: int = P.FEWEST_WORDS) -> DataFrame:
     """(order, n, hashes): the number and the hashes of each row's distinct shingles, rows without any left out."""
     s = T.shingles(T.canonical(F.col(text)), ngram, fewest)
-    return df.select(F.col(order), F.array_sort(F.array_distinct(F.transform(s, lambda x: F.xxhash64(x)))).alias("hashes")).where(F.size("hashes") > 0).withColumn("n", F.size("hashes"))
+    return spread(df.select(order, text)).select(F.col(order), F.array_sort(F.array_distinct(F.transform(s, lambda x: F.xxhash64(x)))).alias("hashes")).where(F.size("hashes") > 0).withColumn("n", F.size("hashes"))
 
 
 def near_pairs(sets: DataFrame, *, threshold: float = P.JACCARD, order: str = "seq") -> DataFrame:
@@ -51,22 +54,20 @@ def near_pairs(sets: DataFrame, *, threshold: float = P.JACCARD, order: str = "s
     return both.withColumn("jaccard", shared / (F.size("s_a") + F.size("s_b") - shared)).where(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
 
 
-def min_hashes(sets: DataFrame, rows: int = P.LSH_ROWS, *, order: str = "seq") -> DataFrame:
-    """A row's least hash under each of ``rows`` hash functions."""
-    least = lambda r: F.array_min(F.transform("hashes", lambda h: F.xxhash64(h, F.lit(r))))
-    return sets.select(order, F.array(*(least(r) for r in range(rows))).alias("signature"))
+def min_hashes(df: DataFrame, rows: int = P.LSH_ROWS, *, text: str = "text", order: str = "seq") -> DataFrame:
+    """(order, signature): of each text that has shingles, the least keyed BLAKE2b digest of its shingles for ``rows`` keys."""
+    found = spread(df.select(order, text)).select(order, T.shingles(T.canonical(F.col(text))).alias("shingles")).where(F.size("shingles") > 0)
+    return found.select(order, udfs.min_hashes(F.col("shingles"), rows).alias("signature"))
 
 
-def greedy(nodes: DataFrame, pairs: DataFrame, *, order: str = "seq", max_rounds: int = 1000) -> DataFrame:
+def greedy(nodes: DataFrame, pairs: DataFrame, *, order: str = "seq") -> DataFrame:
     """The nodes that stay if each is dropped that is near an earlier one that stays.
 
-    Rounds over the undecided: those with no undecided earlier neighbour are decided, by whether a kept one is near.
+    Rounds over the undecided, until there are none: each round decides at least the least of them.
     """
     left = saved(pairs.select("a", "b"))
     dropped = None
-    for _ in range(max_rounds):
-        if left.isEmpty():
-            break
+    while not left.isEmpty():
         # a node without an earlier neighbour stays; what is near it goes
         later = left.select("b").distinct()
         stays = left.select("a").distinct().join(later, F.col("a") == F.col("b"), "left_anti")
@@ -80,11 +81,11 @@ def greedy(nodes: DataFrame, pairs: DataFrame, *, order: str = "seq", max_rounds
 def dedupe(df: DataFrame, *, text: str = "text", order: str = "seq", threshold: float = P.JACCARD, ngram: int = P.NGRAM, fewest: int = P.FEWEST_WORDS, drift: str | None = P.DRIFT) -> DataFrame:
     """Rows without drift, exact and near duplicates of rows that stay, in order.
 
-    Texts with the same set of shingles behave alike, so all but the first go before pairs are sought.
+    Texts with the same set of shingles behave alike, so all but the first go before pairs are sought. Null texts stay.
     """
     if text not in df.columns or order not in df.columns:
         raise TypeError(f"dedupe needs the columns {text} and {order}")
-    rows = df if drift is None else df.where(~T.has_drift(F.col(text), drift))
+    rows = df if drift is None else spread(df).where(~T.has_drift(F.col(text), drift))
     rows = saved(exact_duplicates(rows, text=text, order=order).where("not is_duplicate").drop("is_duplicate"))
     sets = saved(shingled(rows, text=text, order=order, ngram=ngram, fewest=fewest))
     same = sets.withColumn("__k", F.sha2(F.array_join("hashes", ","), 256))

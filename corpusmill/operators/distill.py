@@ -8,14 +8,14 @@ import random
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, fields
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusmill.functions import patterns as P, text as T
-from corpusmill.functions.udfs import first_json_object
-from corpusmill.operators import dedup, lexicon, resume
+from corpusmill.functions.udfs import dialogue_of, first_json_object
+from corpusmill.operators import dedup, ingest, lexicon, resume
 from corpusmill.plans.scratch import saved
 
 #: (status, headers, body) of a request given as (url, headers, JSON body); raises OSError if the transport fails.
@@ -69,16 +69,9 @@ def parse_dialogue(content: str) -> tuple[str, str, str]:
     if found is None:
         raise CompletionError("no balanced JSON object")
     try:
-        value = json.loads(found)
+        return dialogue_of(found)
     except ValueError as e:
-        raise CompletionError(f"malformed JSON: {e}") from None
-    if not isinstance(value, dict) or set(value) != {"user", "assistant", "dialect"}:
-        raise CompletionError("keys other than user, assistant, dialect")
-    if not all(isinstance(v, str) for v in value.values()) or not value["user"] or not value["assistant"]:
-        raise CompletionError("a turn is empty or not a string")
-    if (dialect := value["dialect"].strip().lower()) not in P.DIALECTS:
-        raise CompletionError(f"unknown dialect {dialect!r}")
-    return value["user"], value["assistant"], dialect
+        raise CompletionError(str(e)) from None
 
 
 def complete(body: str, config: Config, transport: Transport, sleep: Callable[[float], None] = time.sleep) -> tuple[str, str, str]:
@@ -155,34 +148,52 @@ def summary(outcomes: DataFrame, *, order: str = "seq") -> DataFrame:
 def canned(url: str, headers: dict[str, str], body: str) -> tuple[int, dict[str, str], str]:
     """A transport without a network: the anchor's words come back as a dialogue, always alike."""
     prompt = json.loads(body)["messages"][1]["content"]
-    anchor = prompt.split("Anchor transcript: ", 1)[-1].rsplit("\nProduce", 1)[0]
-    dialect = "hijazi" if "speaking Hijazi" in prompt else "najdi"
+    anchor = prompt.split("said: ", 1)[-1]
+    dialect = "hijazi" if "dialect: Hijazi" in prompt else "najdi"
     content = json.dumps({"user": anchor, "assistant": f"{anchor} طيب", "dialect": dialect}, ensure_ascii=False)
     return 200, {}, json.dumps({"choices": [{"message": {"content": content}}]})
 
 
 @dataclass
-class Result:
-    dialogues: DataFrame
+class Completed:
+    """``outcomes`` of all requests, the rows that ``succeeded`` with their columns, the ``dialogues`` that stay and their text."""
+
     outcomes: DataFrame
-    flagged: DataFrame
-    counts: dict[str, int] = field(default_factory=dict)
+    succeeded: DataFrame
+    dialogues: DataFrame
 
 
-def run(metadata: DataFrame, config: Config, transport: Transport, *, anchors: DataFrame | None = None, max_rows: int = 0, earlier: DataFrame | None = None) -> Result:
-    """From numbered, validated metadata (``seq``) to deduplicated dialogues: route, resume, distil, purge, report.
+def completed(todo: DataFrame, config: Config, transport: Transport, *, earlier: DataFrame | None = None) -> Completed:
+    """Requests for numbered rows (``seq``), each sent once, and the dialogues without drift, exact and near duplicates.
 
-    ``earlier`` dialogues (user, assistant, dialect) count as seen. Word dispersion is that of all metadata, not only of what was routed.
+    ``earlier`` dialogues (user, assistant, dialect) count as seen.
     """
-    flags = T.is_multi_speaker(*(F.col(c) for c in P.DEMOGRAPHICS))
-    routed = metadata.withColumn("is_multi_speaker", flags).where(flags | T.is_target_dialect(F.col("speaker_dialect"))).select("seq", "text", *P.DEMOGRAPHICS, "is_multi_speaker")
-    if max_rows:
-        routed = routed.orderBy("seq").limit(max_rows)
-    todo = resume.todo(routed, anchors) if anchors is not None else routed
+    todo = saved(todo)
     outcomes = saved(distill(todo, config, transport))
+    # outcomes go back to their rows by number
+    succeeded = todo.join(outcomes.where("error is null").select("seq"), "seq", "left_semi")
     pair = F.concat_ws(" ", "user", "assistant")
     good = outcomes.where("error is null").withColumn("text", pair)
     if earlier is not None:
         good = good.join(earlier.select(T.canonical(pair).alias("__seen")).distinct(), T.canonical(F.col("text")) == F.col("__seen"), "left_anti")
-    kept = saved(dedup.dedupe(good))
-    return Result(kept.select("seq", "user", "assistant", "dialect"), outcomes, lexicon.report(kept, lexicon.dispersion(metadata)))
+    return Completed(outcomes, succeeded, saved(dedup.dedupe(good)))
+
+
+@dataclass
+class Result:
+    """``dialogues`` that stay, ``outcomes`` of all requests, and ``flagged``: words that few speakers use."""
+
+    dialogues: DataFrame
+    outcomes: DataFrame
+    flagged: DataFrame
+
+
+def run(metadata: DataFrame, config: Config, transport: Transport, *, anchors: DataFrame | None = None, max_rows: int = 0, earlier: DataFrame | None = None) -> Result:
+    """From numbered, validated metadata (``seq``) to deduplicated dialogues: route, resume, distil, purge, report.
+
+    The cap of ``max_rows`` counts rows as routed, before those that were finished are left out. Word dispersion is that
+    of all metadata, not only of what was routed.
+    """
+    routed = ingest.distillation_rows(ingest.tier_a(metadata, keep=("seq",)), max_rows=max_rows)
+    done = completed(resume.todo(routed, anchors) if anchors is not None else routed, config, transport, earlier=earlier)
+    return Result(done.dialogues.select("seq", "user", "assistant", "dialect"), done.outcomes, lexicon.report(done.dialogues, lexicon.dispersion(metadata)))

@@ -37,12 +37,12 @@ def violations() -> Column:
     return F.array_compact(F.array(*missing, *empty))
 
 
-def validated(df: DataFrame) -> DataFrame:
-    """Valid rows with texts stripped; the first invalid row fails the job."""
+def validated(df: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Valid rows with texts stripped, after columns ``keep``; the first invalid row fails the job."""
     bad = violations()
     fail = F.raise_error(F.concat(F.lit("invalid metadata row: "), F.array_join(bad, ",")))
     guard = lambda c: F.when(F.size(bad) > 0, fail).otherwise(F.col(c)).cast("string")
-    return df.select(*(T.stripped(guard(c)).alias(c) if c in ("text", "cleaned_text") else guard(c).alias(c) for c in P.METADATA_COLUMNS))
+    return df.select(*keep, *(T.stripped(guard(c)).alias(c) if c in ("text", "cleaned_text") else guard(c).alias(c) for c in P.METADATA_COLUMNS))
 
 
 def quarantined(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,9 +58,9 @@ def _flags(df: DataFrame, accepts: Column | None) -> DataFrame:
     return df.withColumn("is_multi_speaker", T.is_multi_speaker(*(F.col(c) for c in P.DEMOGRAPHICS))).withColumn("__target", target)
 
 
-def tier_a(df: DataFrame, *, accepts: Column | None = None) -> DataFrame:
-    """Rows of several speakers or of a target dialect: text, demographics, is_multi_speaker."""
-    return _flags(df, accepts).where("is_multi_speaker or __target").select("text", *P.DEMOGRAPHICS, "is_multi_speaker")
+def tier_a(df: DataFrame, *, accepts: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of several speakers or of a target dialect: columns ``keep``, text, demographics, is_multi_speaker."""
+    return _flags(df, accepts).where("is_multi_speaker or __target").select(*keep, "text", *P.DEMOGRAPHICS, "is_multi_speaker")
 
 
 def tier_b(df: DataFrame, *, accepts: Column | None = None, quarantine: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusmill.functions import patterns as P, text as T
+from corpusmill.plans.scratch import exists
 
 
 def anchored(rows: DataFrame) -> DataFrame:
@@ -14,12 +15,9 @@ def anchored(rows: DataFrame) -> DataFrame:
 
 def load(spark: SparkSession, path: str) -> DataFrame:
     """Distinct anchors of a folder of text files; a path that doesn't exist has none, blank lines don't count."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        lines = spark.read.text(path)
-    except AnalysisException:
+    if not exists(spark, path):
         return spark.createDataFrame([], "anchor string")
+    lines = spark.read.text(path)
     return lines.select(F.trim("value").alias("anchor")).where("anchor <> ''").distinct()
 
 

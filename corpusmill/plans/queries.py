@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from corpusmill.functions import patterns as P, text as T, udfs
 from corpusmill.operators import dedup, distill, evaluation, ingest, lexicon, packing, resume, tokenizer
+from corpusmill.plans.scratch import saved, spread
 from corpusmill.sources import corpus
 from corpusmill.streaming import resumable
 
@@ -73,14 +74,18 @@ _NORMAL = (
 
 
 def curated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Languages of normalised documents without exact duplicates: number, words, mean length."""
-    docs = _documents(spark, sf_dir).withColumn("text", T.normalized(F.col("text"))).where(F.size(T.words(F.col("text"))) >= 1)
-    kept = dedup.exact_duplicates(docs).where("not is_duplicate")
-    return kept.groupBy("lang").agg(F.count("*").alias("n_docs"), F.sum(F.size(T.words(F.col("text"))).cast("long")).alias("n_words"), F.avg(F.length("text")).alias("mean_length"))
+    """Languages of normalised documents without exact duplicates: number, words, mean length.
+
+    Texts are normalised once, into a written table; only hashes and numbers are shuffled.
+    """
+    docs = saved(spread(_documents(spark, sf_dir)).select("seq", "lang", T.normalized(F.col("text")).alias("text")))
+    rows = docs.select("seq", F.sha2(T.canonical(F.col("text")), 256).alias("key"), F.struct("lang", F.size(T.words(F.col("text"))).cast("long").alias("n_words"), F.length("text").alias("length")).alias("r"))
+    kept = rows.where("r.n_words >= 1").groupBy("key").agg(F.min_by("r", "seq").alias("r")).select("r.*")
+    return kept.groupBy("lang").agg(F.count("*").alias("n_docs"), F.sum("n_words").alias("n_words"), F.avg("length").alias("mean_length"))
 
 
 def normalize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", T.normalized(F.col("text")).alias("normalized"))
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", T.normalized(F.col("text")).alias("normalized"))
 
 
 #: Text and its normal form: letters, marks, invisible characters, spelling variants with and without clitics, blanks.
@@ -96,31 +101,28 @@ def normalize_arabic_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MULTI = P.MULTI_SPEAKER
-METADATA_ROWS = [
-    ("audio/1.wav", "وين رايح؟", "وين رايح", "Adult", "Male", "Najdi"), ("audio/2.wav", "طيب", "طيب", "Adult", "Female", " hijazi "), ("audio/3.wav", "ايش", "ايش", "Child", "Male", "Unknown"),
-    ("audio/4.wav", "نعم", "نعم", _MULTI, _MULTI, _MULTI), ("audio/5.wav", "لا", "لا", "Adult", _MULTI, "Najdi"), ("audio/6.wav", "بس", "بس", "Adult", "Male", "NAJDI"),
-]
-
-
-def _metadata(spark: SparkSession) -> DataFrame:
-    return ingest.validated(ingest.checked_columns(_values(spark, METADATA_ROWS, list(P.METADATA_COLUMNS))))
+def _as_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in the metadata's form: language as dialect, source as speaker, every 7th said by several; two languages'
+    cleaned texts are spoilt."""
+    cleaned = F.when(F.col("lang") == "es", "").when(F.col("lang") == "de", "  ").otherwise(F.col("text"))
+    gender = F.when(F.col("doc_id") % 7 == 0, _MULTI).otherwise("Male")
+    return _table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("audio"), "text", cleaned.alias("cleaned_text"), F.lit("Adult").alias("speaker_age"), gender.alias("speaker_gender"), F.concat(F.lit(" "), F.upper("lang")).alias("speaker_dialect"))
 
 
-_META_SQL = f"(SELECT *, '{_MULTI}' IN (speaker_age, speaker_gender, speaker_dialect) AS is_multi_speaker, lower(trim(speaker_dialect)) IN ('najdi', 'hijazi') AS target FROM {_sql_values(METADATA_ROWS, list(P.METADATA_COLUMNS))})"
+def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.quarantined(ingest.checked_columns(_as_metadata(spark, sf_dir)))[0]
 
 
 def route_tier_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.tier_a(_metadata(spark))
+    return ingest.tier_a(_valid(spark, sf_dir), accepts=T.is_target_dialect(F.col("speaker_dialect"), ("fr",)))
 
 
 def route_tier_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.tier_b(_metadata(spark))
+    return ingest.tier_b(_valid(spark, sf_dir), accepts=T.is_target_dialect(F.col("speaker_dialect"), ("fr",)))
 
 
-def _as_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in the metadata's form: language as dialect, source as speaker; two languages' cleaned texts are spoilt."""
-    cleaned = F.when(F.col("lang") == "es", "").when(F.col("lang") == "de", "  ").otherwise(F.col("text"))
-    return _table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("audio"), "text", cleaned.alias("cleaned_text"), F.lit("Adult").alias("speaker_age"), F.lit("Male").alias("speaker_gender"), F.col("lang").alias("speaker_dialect"))
+_META_SQL = f"""(SELECT regexp_replace(text, '^{P.WHITE_SPACE}+|{P.WHITE_SPACE}+$', '', 'g') AS text, 'Adult' AS speaker_age, CASE WHEN doc_id % 7 = 0 THEN '{_MULTI}' ELSE 'Male' END AS speaker_gender,
+concat(' ', upper(lang)) AS speaker_dialect, doc_id % 7 = 0 AS is_multi_speaker, lang = 'fr' AS target FROM documents WHERE lang NOT IN ('es', 'de'))"""
 
 
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +131,7 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", T.has_drift(F.col("text"), LATIN_DRIFT).alias("has_drift"))
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", T.has_drift(F.col("text"), LATIN_DRIFT).alias("has_drift"))
 
 
 def drift_arabic_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,16 +142,16 @@ DRIFT_CASES = [(1, "عايز أروح السوق", True), (2, "بصراحة ال
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.exact_duplicates(_documents(spark, sf_dir)).select(F.col("seq").alias("doc_id"), "is_duplicate")
+    return dedup.exact_duplicates(_documents(spark, sf_dir).select("seq", "text")).select(F.col("seq").alias("doc_id"), "is_duplicate")
 
 
 def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", F.size(T.shingles(T.canonical(F.col("text")))).cast("long").alias("n_shingles"))
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.size(T.shingles(T.canonical(F.col("text")))).cast("long").alias("n_shingles"))
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup.exact_duplicates(_documents(spark, sf_dir)).where("not is_duplicate")
-    return dedup.near_pairs(dedup.saved(dedup.shingled(rows)))
+    rows = dedup.exact_duplicates(_documents(spark, sf_dir).select("seq", "text")).where("not is_duplicate")
+    return dedup.near_pairs(saved(dedup.shingled(rows)))
 
 
 def greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +163,7 @@ def purge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def min_hash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.min_hashes(dedup.shingled(_documents(spark, sf_dir)))
+    return dedup.min_hashes(_documents(spark, sf_dir)).select(F.col("seq").alias("doc_id"), F.array_join("signature", ",").alias("signature"))
 
 
 def dialogue_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +177,7 @@ def dialogue_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon_dispersion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lexicon.dispersion(_table(spark, sf_dir, "documents"), speaker="source")
+    return lexicon.dispersion(spread(_table(spark, sf_dir, "documents").select("source", "text")), speaker="source")
 
 
 def _dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,14 +194,14 @@ def flagged_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without a label, by the anti-join on anchors."""
-    rows = _table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("doc_id").cast("string")).alias("anchor"))
-    done = _table(spark, sf_dir, "labels").select(F.md5(F.col("doc_id").cast("string")).alias("anchor")).distinct()
-    return rows.join(done, "anchor", "left_anti").select("doc_id")
+    """Documents without a label: the labelled ones' anchors are those of finished rows."""
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("doc_id").cast("string").alias("speaker_age"), F.col("source").alias("speaker_gender"), F.col("lang").alias("speaker_dialect"), F.lit(False).alias("is_multi_speaker"))
+    done = rows.join(_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return resume.todo(rows, resume.anchored(done)).select("doc_id")
 
 
 def anchors_blake2b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ingest.tier_a(ingest.quarantined(_as_metadata(spark, sf_dir))[0], accepts=F.lit(True))
+    rows = ingest.tier_a(_valid(spark, sf_dir), accepts=F.lit(True))
     return resume.anchored(rows).select("anchor", "speaker_dialect")
 
 
@@ -226,7 +228,7 @@ def json_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_idx"), "text")
+    raw = spread(_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_idx"), "text"))
     talk = _pairs(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_idx"), "user", "assistant")
     return packing.rows_of(raw, talk).select(F.col("kind").cast("int").alias("kind"), "row_idx", F.size(T.words(F.col("text"))).cast("long").alias("length"))
 
@@ -265,7 +267,7 @@ def equal_length_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    each = _table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("token"))
+    each = spread(_table(spark, sf_dir, "documents").select("text")).select(F.explode(T.words(F.col("text"))).alias("token"))
     return each.groupBy("token").agg(F.count("*").alias("n"))
 
 
@@ -279,7 +281,7 @@ def particle_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far assistants' turns are from the users' before them."""
-    return evaluation.error_rates(_pairs(spark, sf_dir), reference="user", hypothesis="assistant").select("char_errors", "chars", "words", "cer")
+    return evaluation.error_rates(_pairs(spark, sf_dir), reference="user", hypothesis="assistant").select("char_errors", "chars", "word_errors", "words", "cer", "wer")
 
 
 def label_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,7 +291,7 @@ def label_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distill_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ingest.tier_a(_metadata(spark))
+    rows = ingest.distillation_rows(route_tier_a(spark, sf_dir))
     return rows.select("text", T.user_prompt(*(F.col(c) for c in ("text", *P.DEMOGRAPHICS, "is_multi_speaker"))).alias("prompt"))
 
 
@@ -305,7 +307,7 @@ def tokenizer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         spec = json.dumps(json.load(f))
-    rows = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("line"), "text")
+    rows = spread(_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("line"), "text"))
     return tokenizer.metrics(rows, spec).withColumn("warnings", F.array_join(tokenizer.warnings(), ","))
 
 
@@ -342,7 +344,7 @@ SELECT lang, count(*) AS n_docs, CAST(sum(len({_sql_words('text')})) AS BIGINT)
     "normalize_documents": f"SELECT doc_id, {_NORMAL} AS normalized FROM documents",
     "normalize_arabic_inline": f"SELECT CAST(id AS BIGINT) AS id, normalized FROM {_sql_values([(i, n) for i, (_, n) in enumerate(NORMAL_CASES)], ['id', 'normalized'])}",
     "route_tier_a": f"SELECT text, speaker_age, speaker_gender, speaker_dialect, is_multi_speaker FROM {_META_SQL} m WHERE is_multi_speaker OR target",
-    "route_tier_b": f"SELECT cleaned_text, is_multi_speaker FROM {_META_SQL} m WHERE NOT is_multi_speaker AND target",
+    "route_tier_b": f"SELECT text AS cleaned_text, is_multi_speaker FROM {_META_SQL} m WHERE NOT is_multi_speaker AND target",
     "quarantine_rows": "SELECT concat(source, '/', doc_id) AS audio, CASE lang WHEN 'es' THEN 'empty_cleaned_text,blank_cleaned_text' ELSE 'blank_cleaned_text' END AS reasons FROM documents WHERE lang IN ('es', 'de')",
     "drift_flags": f"SELECT doc_id, regexp_matches(regexp_replace(text, '{P.DEDUP_MARKS}', '', 'g'), '{LATIN_DRIFT}') AS has_drift FROM documents",
     "drift_arabic_inline": f"SELECT CAST(id AS BIGINT) AS id, has_drift FROM {_sql_values([(i, e) for i, _, e in DRIFT_CASES], ['id', 'has_drift'])}",
@@ -377,12 +379,12 @@ SELECT r.k // 128 AS batch_id, CAST((r.k // 16) % 8 AS INTEGER) AS slot, string_
     "char_fallback_tokens": f"SELECT token, count(*) AS n FROM (SELECT unnest({_sql_words('text')}) AS token FROM documents) WHERE length(token) = 1 AND NOT list_contains(string_split('{P.CLITICS}', ''), token) GROUP BY token",
     "particle_ratio": "SELECT *, target_hits / (target_hits + other_hits) AS dmpr FROM (SELECT CAST(sum(len(regexp_extract_all(text, 'the '))) AS BIGINT) AS target_hits, CAST(sum(len(regexp_extract_all(text, 'of '))) AS BIGINT) AS other_hits FROM conversations)",
     "label_accuracy": "SELECT lang AS task, count(*) AS n, avg(CASE WHEN quality = 1 THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM documents JOIN labels USING (doc_id) WHERE lang <> 'es' GROUP BY lang",
-    "distill_prompts": f"SELECT text, concat('Persona: ', speaker_gender, ', ', speaker_age, ', speaking ', speaker_dialect, '.', CASE WHEN is_multi_speaker THEN ' (Several speakers: keep their turns.)' ELSE '' END, chr(10), 'Anchor transcript: ', text, chr(10), 'Produce the JSON dialogue.') AS prompt FROM {_META_SQL} m WHERE is_multi_speaker OR target",
+    "distill_prompts": f"SELECT text, concat('gender: ', speaker_gender, chr(10), 'age: ', speaker_age, chr(10), 'dialect: ', speaker_dialect, chr(10), 'speakers: ', CASE WHEN is_multi_speaker THEN 'several' ELSE 'one' END, chr(10), 'said: ', text) AS prompt FROM {_META_SQL} m WHERE is_multi_speaker OR target",
     "event_props_json": "SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS key FROM events) GROUP BY key",
     "events_stream_agg": _sql_events(),
 }
 
-#: DuckDB's levenshtein counts bytes, so turn_error_rates has none either.
+#: DuckDB's levenshtein counts bytes, so turn_error_rates has none either. Tests hold all of these against plain Python.
 NO_SQL = (turn_error_rates, purge_report, min_hash_signatures, anchors_blake2b, holdout_blake2b, distill_canned, tokenizer_metrics)
 
 

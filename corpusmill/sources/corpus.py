@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusmill.functions import patterns as P, text as T
+from corpusmill.functions import patterns as P, text as T, udfs
+from corpusmill.operators.packing import with_offsets
 
+_PLACE = ("file", "block", "at")
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows of a file scan with their place: file, the split's begin in it, the row's rank in the scan."""
+    return rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, text): all lines of a file or folder with their running number, blank ones too, files in order of name.
 
-    Numbers follow the partitions of the scan: a first pass counts each partition's lines, a second numbers them.
-    """
-    lines = spark.read.text(path).select("value").rdd.zipWithIndex().map(lambda x: (x[1], x[0].value))
-    return spark.createDataFrame(lines, StructType([StructField("line", LongType()), StructField("text", StringType())]))
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of ``placed`` with a running number from 0, without gaps, files in order of name; no row leaves the executors."""
+    return with_offsets(rows.withColumn("__one", F.lit(1).cast("long")), length="__one", order=_PLACE).withColumnRenamed("start", name).drop("__one", *_PLACE)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, text): all lines of a file or folder with their running number, blank ones too, files in order of name."""
+    return numbered(placed(spark.read.text(path)), "line").select("line", F.col("value").alias("text"))
 
 
 def normalized_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -24,30 +32,27 @@ def normalized_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_rows(spark: SparkSession, folder: str) -> DataFrame:
     """(row_idx, text): stripped non-blank lines of a folder's *.txt files, numbered without gaps in order of file and line."""
-    kept = spark.read.option("pathGlobFilter", "*.txt").text(folder).select(F.col("_metadata.file_path").alias("f"), T.stripped(F.col("value")).alias("text"), F.monotonically_increasing_id().alias("i"))
-    out = kept.where("text <> ''").orderBy("f", "i").rdd.zipWithIndex().map(lambda x: (x[1], x[0].text))
-    return spark.createDataFrame(out, StructType([StructField("row_idx", LongType()), StructField("text", StringType())]))
+    kept = placed(spark.read.option("pathGlobFilter", "*.txt").text(folder)).withColumn("text", T.stripped(F.col("value"))).where("text <> ''").drop("value")
+    return numbered(kept, "row_idx").select("row_idx", "text")
 
 
-def _dialogue_problem(raw: Column) -> Column:
-    keys = F.json_object_keys(raw)
-    get = lambda k: F.get_json_object(raw, f"$.{k}")
-    return (
-        F.when(keys.isNull(), F.lit("malformed"))
-        .when(F.size(F.array_except(keys, F.array(*map(F.lit, ("user", "assistant", "dialect"))))) > 0, F.lit("extra key"))
-        .when((F.coalesce(get("user"), F.lit("")) == "") | (F.coalesce(get("assistant"), F.lit("")) == ""), F.lit("empty turn"))
-        .when(~F.coalesce(F.lower(T.stripped(get("dialect"))).isin(*P.DIALECTS), F.lit(False)), F.lit("dialect"))
-    )
+def dialogues(spark: SparkSession, path: str, *, quarantine: bool = False) -> DataFrame:
+    """(user, assistant, dialect) of JSON lines, blank lines skipped. Any line that isn't strictly a dialogue (malformed, other
+    or repeated keys, values that aren't strings, empty turns, another dialect) fails the job, or is left out with ``quarantine``."""
+    return _dialogues(spark.read.text(path), quarantine).select("user", "assistant", "dialect")
 
 
-def dialogues(spark: SparkSession, path: str, *, quarantine: bool = False) -> DataFrame:
-    """(user, assistant, dialect) of JSON lines, blank lines skipped. Any invalid line fails the job, or is left out with ``quarantine``."""
-    raw = spark.read.text(path).where(T.stripped(F.col("value")) != "").withColumn("problem", _dialogue_problem(F.col("value")))
+def numbered_dialogues(spark: SparkSession, path: str) -> DataFrame:
+    """(row_idx, user, assistant, dialect) of JSON lines in order of file and line, numbered without gaps."""
+    return numbered(_dialogues(placed(spark.read.text(path)), False, *_PLACE), "row_idx").select("row_idx", "user", "assistant", "dialect")
+
+
+def _dialogues(lines: DataFrame, quarantine: bool, *keep: str) -> DataFrame:
+    rows = lines.where(T.stripped(F.col("value")) != "").select(*keep, udfs.dialogue(F.col("value")).alias("d"))
     if quarantine:
-        raw = raw.where("problem is null")
-    line = F.when(F.col("problem").isNull(), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("invalid dialogue line: "), "problem")).cast("string"))
-    get = lambda k: F.get_json_object(line, f"$.{k}")
-    return raw.select(get("user").alias("user"), get("assistant").alias("assistant"), F.lower(T.stripped(get("dialect"))).alias("dialect"))
+        return rows.where("d.problem is null").select(*keep, "d.*")
+    fail = F.raise_error(F.concat(F.lit("invalid dialogue line: "), F.col("d.problem"))).cast("string")
+    return rows.select(*keep, F.when(F.col("d.problem").isNull(), F.col("d.user")).otherwise(fail).alias("user"), "d.assistant", "d.dialect")
 
 
 def append_dialogues(df: DataFrame, path: str) -> None:
@@ -55,13 +60,15 @@ def append_dialogues(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct("user", "assistant", "dialect")).alias("value")).write.mode("append").text(path)
 
 
-def metadata_fixture(spark: SparkSession, *, copies: int = 3, seed: int = 11) -> DataFrame:
-    """A small table of speech metadata: sentences of both target dialects and others, and two rows of several speakers."""
-    import random
-
-    rng = random.Random(seed)
-    said = ["وين رايح اليوم يا صاحبي", "ايش تبغى من السوق", "الجو حلو الليلة", "ابغى قهوة من غير سكر", "متى يجي المدير", "خلنا نمشي بدري", "السيارة عند البيت", "كم سعر هذا الثوب", "شفت المباراة امس", "طيب نتقابل بكرة"]
-    ages = ["Adult -- بالغ", "Elderly -- كبير في السن", "Child -- طفل"]
-    rows = [(f"audio/{rng.randrange(10_000):05d}.wav", t, t, rng.choice(ages), rng.choice(["Male", "Female"]), rng.choice(["Najdi", "Najdi", "Najdi", "Hijazi", "Unknown"])) for t in said for _ in range(copies)]
-    rows += [(f"audio/9000{i}.wav", said[i], said[i], *[P.MULTI_SPEAKER] * 3) for i in range(2)]
-    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in P.METADATA_COLUMNS))
+def metadata_fixture(spark: SparkSession, *, rows: int = 45) -> DataFrame:
+    """A small table of speech metadata, all by rule from a row's number: three dialects by turns, each sentence said by as
+    many speakers as rows allow, and several speakers in every 9th row, marked in one column after the other."""
+    who, does, what = ("ابوي", "خالتي", "جارنا"), ("يدور", "نسى", "شرى", "باع", "جاب"), ("مفتاح الباب", "دلة قديمة", "كيس رز")
+    out = []
+    for i in range(rows):
+        said = f"{who[i % 3]} {does[i % 5]} {what[i // 3 % 3]}"
+        person = [("Adult", "Child", "Elderly")[i // 2 % 3], ("Female", "Male")[i % 2], ("Hijazi", "Najdi", "Southern")[i // 5 % 3]]
+        if i % 9 == 8:
+            person[i // 9 % 3] = P.MULTI_SPEAKER
+        out.append((f"clips/{i // 4}-{i % 4}.flac", said, said, *person))
+    return spark.createDataFrame(out, ", ".join(f"{c} string" for c in P.METADATA_COLUMNS))

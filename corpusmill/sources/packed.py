@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import tempfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -33,33 +34,69 @@ def _replaced(path: Path, write) -> None:
         raise
 
 
+def _parts(folder: str):
+    """Writes each partition's ids, which come in order, to a file of its own that is named by the first row's place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, name, n = None, None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if held is None:
+                name = f"{b.column('kind')[0].as_py():03d}-{b.column('row_idx')[0].as_py():020d}"
+                handle, temporary = tempfile.mkstemp(dir=folder, prefix=".writing-")
+                held = os.fdopen(handle, "wb")
+            ids = b.column("ids").flatten().to_numpy(zero_copy_only=False)
+            if len(ids) and (ids.min() < 0 or ids.max() > P.UINT16_MAX):
+                raise packing.PackingError("an id doesn't fit 16 bits")
+            held.write(ids.astype(np.uint16).tobytes())
+            n += len(ids)
+        if held is not None:
+            held.close()
+            # a task that runs again, or twice at a time, leaves the same file
+            os.replace(temporary, os.path.join(folder, name))
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["name", "n"])
+
+    return run
+
+
 def write(rows: DataFrame, path: str, *, vocabulary: int, tokenizer_hash: str, pad_id: int = 0) -> dict:
     """Writes <path>.bin, .index.npz and .meta.json from (kind, row_idx, ids) and returns the description.
 
-    Rows arrive in order, partition by partition, so the driver holds one partition at a time; nothing is replaced before
-    all is written.
+    Tasks write part files into a folder beside ``path``, which all executors must see; the driver joins them in order of
+    offset without looking into them. Of the rows it holds three numbers each, as the index's format asks. Nothing is
+    replaced before all is written.
     """
     if vocabulary > P.UINT16_MAX:
         raise packing.PackingError(f"{vocabulary} ids don't fit 16 bits")
-    placed = packing.with_offsets(rows.withColumn("length", F.size("ids").cast("long")))
-    starts, lengths, kinds = [], [], []
-
-    def stream(f) -> None:
-        for r in placed.orderBy("kind", "row_idx").select("kind", "start", "length", "ids").toLocalIterator(prefetchPartitions=False):
-            ids = np.asarray(r.ids, np.int64)
-            if len(ids) and (ids.min() < 0 or ids.max() > P.UINT16_MAX):
-                raise packing.PackingError("an id doesn't fit 16 bits")
-            f.write(ids.astype(np.uint16).tobytes())
-            starts.append(r.start)
-            lengths.append(r.length)
-            kinds.append(r.kind)
-
     base = Path(path)
     base.parent.mkdir(parents=True, exist_ok=True)
-    _replaced(base.with_name(base.name + ".bin"), stream)
-    index = {"starts": np.array(starts, np.uint64), "lengths": np.array(lengths, np.uint64), "kind": np.array(kinds, np.uint8)}
+    order = ("kind", "row_idx")
+    placed = packing.with_offsets(rows.withColumn("length", F.size("ids").cast("long")), order=order)
+    folder = tempfile.mkdtemp(dir=base.parent, prefix=f".{base.name}.parts-")
+    os.chmod(folder, 0o777)
+    try:
+        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ordered = placed.select("kind", "row_idx", "ids").repartitionByRange(n, *order).sortWithinPartitions(*order)
+        parts = sorted((r.name, r.n) for r in ordered.mapInArrow(_parts(folder), "name string, n long").collect())
+        table = placed.select("kind", "row_idx", "start", "length").toArrow().sort_by([("kind", "ascending"), ("row_idx", "ascending")])
+        kinds = table.column("kind").to_numpy().astype(np.uint8)
+        index = {"starts": table.column("start").to_numpy().astype(np.uint64), "lengths": table.column("length").to_numpy().astype(np.uint64), "kind": kinds}
+        total = int(index["lengths"].sum())
+        if sum(k for _, k in parts) != total:
+            raise packing.PackingError("the parts don't hold the ids of all rows")
+
+        def joined(f) -> None:
+            for name, _ in parts:
+                with open(os.path.join(folder, name), "rb") as part:
+                    shutil.copyfileobj(part, f, 1 << 20)
+
+        _replaced(base.with_name(base.name + ".bin"), joined)
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
     _replaced(base.with_name(base.name + ".index.npz"), lambda f: np.savez_compressed(f, **index))
-    meta = {"vocab_size": vocabulary, "tokenizer_hash": tokenizer_hash, "total_tokens": int(index["lengths"].sum()), "rows_raw": kinds.count(P.KIND_RAW), "rows_synthetic": kinds.count(P.KIND_SYNTHETIC), "pad_id": pad_id}
+    raw = int((kinds == P.KIND_RAW).sum())
+    meta = {"vocab_size": vocabulary, "tokenizer_hash": tokenizer_hash, "total_tokens": total, "rows_raw": raw, "rows_synthetic": int((kinds == P.KIND_SYNTHETIC).sum()), "pad_id": pad_id}
     _replaced(base.with_name(base.name + ".meta.json"), lambda f: f.write(json.dumps(meta).encode()))
     return meta
 

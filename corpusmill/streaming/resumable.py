@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusmill.functions import text as T
 from corpusmill.operators import dedup
+from corpusmill.plans.scratch import exists, saved
 
 
-def curated(stream: DataFrame, out: str, checkpoint: str, *, text: str = "text", order: str = "seq") -> StreamingQuery:
-    """Appends to ``out`` the rows of each micro-batch that repeat neither one another nor what is there already.
+def curated(stream: DataFrame, out: str, checkpoint: str, *, text: str = "text", order: str = "seq", anchors: DataFrame | None = None, anchor: str = "anchor") -> StreamingQuery:
+    """Appends to ``out`` the rows of each micro-batch that repeat, exactly or nearly, neither one another nor what is there.
 
-    A batch that runs again after a failure overwrites its own folder, so results are exactly once.
+    Rows whose ``anchor`` is among ``anchors`` were finished before and are left out. A batch that runs again after a
+    failure doesn't see its own rows and overwrites its own folder, so results are exactly once.
     """
 
     def step(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
-        kept = dedup.dedupe(df, text=text, order=order).withColumn("canonical", T.canonical(F.col(text)))
-        try:
-            seen = spark.read.parquet(out).where(F.col("batch") != batch).select(F.col("canonical").alias("__seen"))
-            kept = kept.join(seen, F.col("canonical") == F.col("__seen"), "left_anti")
-        except AnalysisException:
-            pass
-        kept.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        if anchors is not None:
+            df = df.join(anchors.select(F.col(anchor).alias("__done")).distinct(), F.col(anchor) == F.col("__done"), "left_anti")
+        new = saved(df.withColumn("canonical", T.canonical(F.col(text))))
+        if exists(spark, out):
+            seen = spark.read.parquet(out).where(F.col("batch") != batch)
+            new = saved(new.join(seen.select(F.col("canonical").alias("__seen")), F.col("canonical") == F.col("__seen"), "left_anti"))
+            # what was kept earlier comes first, so a pair's first row is an earlier one if either is
+            both = seen.select(F.struct(F.lit(0).alias("new"), F.col(order).alias("k")).alias("at"), "canonical").unionByName(new.select(F.struct(F.lit(1).alias("new"), F.col(order).alias("k")).alias("at"), "canonical"))
+            near = dedup.near_pairs(saved(dedup.shingled(both, text="canonical", order="at")), order="at").where("a.new = 0 and b.new = 1")
+            new = new.join(near.select(F.col("b.k").alias("__near")).distinct(), F.col(order) == F.col("__near"), "left_anti")
+        dedup.dedupe(new, text=text, order=order).write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -46,7 +46,7 @@ def test_extract_json(spark):
 
 def test_contract(spark):
     meta = corpus.metadata_fixture(spark)
-    assert meta.count() == 32 and ingest.tier_a(meta).where("is_multi_speaker").count() == 2
+    assert meta.count() == 45 and ingest.tier_a(meta).where("is_multi_speaker").count() == 5
     with pytest.raises(ingest.SchemaError):
         ingest.checked_columns(meta.withColumn("more", F.lit("x")))
     with pytest.raises(ValueError):
@@ -119,12 +119,44 @@ def test_backoff():
     assert distill.backoff(0, "2.5", rng) == 2.5 and 1 <= distill.backoff(0, "0", rng) < 1.5 and 8 <= distill.backoff(9, "x", rng) < 8.5
 
 
-def test_distill_and_resume(spark):
-    meta = corpus.metadata_fixture(spark).coalesce(1).withColumn("seq", F.monotonically_increasing_id())
-    result = distill.run(meta, distill.Config(), distill.canned)
-    assert result.dialogues.count() == 10 and distill.summary(result.outcomes).first().failed == 0
-    rows = ingest.tier_a(meta)
-    assert resume.todo(rows, resume.anchored(rows)).count() == 0
+ROWS = [
+    ("a1", "وين رايح؟", "وين رايح", "Adult", "Male", "Najdi"), ("a2", "طيب", "طيب", "Adult", "Female", " hijazi "), ("a3", "ايش", "ايش", "Child", "Male", "Unknown"),
+    ("a4", "نعم", "نعم", *[P.MULTI_SPEAKER] * 3), ("a5", "لا", "لا", "Adult", P.MULTI_SPEAKER, "Najdi"), ("a6", "بس", "بس", "Adult", "Male", "NAJDI"),
+]
+
+
+def test_routes_known_answers(spark):
+    meta = ingest.validated(ingest.checked_columns(spark.createDataFrame(ROWS, list(P.METADATA_COLUMNS))))
+    assert sorted(r.text for r in ingest.tier_a(meta).collect()) == sorted(r[1] for r in ROWS if r[0] != "a3")
+    assert sorted(r.cleaned_text for r in ingest.tier_b(meta).collect()) == sorted(["وين رايح", "طيب", "بس"])
+
+
+def test_prompts_say_what_is_asked(spark):
+    assert all(x in T.SYSTEM_PROMPT for x in ("json", '"user"', '"assistant"', '"dialect"', "najdi", "hijazi"))
+    meta = spark.createDataFrame(ROWS, list(P.METADATA_COLUMNS))
+    for r in distill.requests(ingest.tier_a(meta.withColumn("seq", F.monotonically_increasing_id()), keep=("seq",)), distill.Config()).collect():
+        body = json.loads(r.body)
+        assert body["response_format"] == {"type": "json_object"} and body["messages"][0]["content"] == T.SYSTEM_PROMPT
+        assert body["messages"][1]["content"].split("said: ")[1] in [x[1] for x in ROWS]
+
+
+def test_anchor_known_answer(spark):
+    import hashlib
+
+    row = spark.createDataFrame([("نص", "Adult", "Male", "Najdi", True)], "text string, speaker_age string, speaker_gender string, speaker_dialect string, is_multi_speaker boolean")
+    assert resume.anchored(row).first().anchor == hashlib.blake2b("نص\nAdult\nMale\nNajdi\nTrue".encode(), digest_size=16).hexdigest()
+
+
+def test_resume(spark, tmp_path):
+    rows = ingest.tier_a(corpus.metadata_fixture(spark))
+    assert resume.load(spark, str(tmp_path / "none")).count() == 0
+    some = rows.limit(7)
+    resume.mark(resume.anchored(some), str(tmp_path / "done"))
+    (tmp_path / "done" / "more").write_text("\n \n")
+    done = resume.load(spark, str(tmp_path / "done"))
+    assert done.count() == resume.anchored(some).select("anchor").distinct().count()
+    left = resume.todo(rows, done)
+    assert left.join(some, rows.columns, "left_semi").count() == 0 and left.count() >= rows.count() - 7 * 3
 
 
 def test_jsonl(spark, tmp_path):
@@ -132,11 +164,89 @@ def test_jsonl(spark, tmp_path):
     corpus.append_dialogues(talk, str(tmp_path / "d"))
     corpus.append_dialogues(talk, str(tmp_path / "d"))
     assert corpus.dialogues(spark, str(tmp_path / "d")).collect() == talk.union(talk).collect()
-    (tmp_path / "e").mkdir()
-    (tmp_path / "e" / "x").write_text('{"user": "a", "assistant": "b", "dialect": "najdi", "more": 1}\n\n')
-    with pytest.raises(Exception, match="extra key"):
-        corpus.dialogues(spark, str(tmp_path / "e")).collect()
-    assert corpus.dialogues(spark, str(tmp_path / "e"), quarantine=True).count() == 0
+
+
+@pytest.mark.parametrize(
+    "line, reason",
+    [
+        ('{"user": "a", "assistant": "b", "dialect": "najdi", "more": 1}', "extra key"), ('{"user": 5, "assistant": ["x"], "dialect": "najdi"}', "not a string"), ('{"user": "a", "assistant": "b", "dialect": "najdi"} x', "malformed"),
+        ('{"user": "a", "user": "c", "assistant": "b", "dialect": "najdi"}', "repeated key"), ('{"user": "", "assistant": "b", "dialect": "najdi"}', "empty turn"), ('{"user": "a", "assistant": "b"}', "missing key"),
+        ('{"user": "a", "assistant": "b", "dialect": "x"}', "unknown dialect"), ("[1]", "not an object"), ('{"user": null, "assistant": "b", "dialect": "najdi"}', "not a string"), ("{", "malformed"),
+    ],
+)
+def test_jsonl_is_strict(spark, tmp_path, line, reason):
+    good = '{"dialect": " Najdi ", "user": "a", "assistant": "b"}'
+    (tmp_path / "x").write_text(f"{good}\n\n{line}\n")
+    with pytest.raises(Exception, match=reason):
+        corpus.dialogues(spark, str(tmp_path / "x")).collect()
+    assert [tuple(r) for r in corpus.dialogues(spark, str(tmp_path / "x"), quarantine=True).collect()] == [("a", "b", "najdi")]
+
+
+def test_exact_duplicates_with_nulls_and_ties(spark):
+    rows = [(1, "a  b"), (2, "a b"), (2, "a b"), (3, None), (3, None), (0, "c"), (0, "c"), (4, "")]
+    out = dedup.exact_duplicates(spark.createDataFrame(rows, "seq long, text string")).collect()
+    assert sorted((r.seq, r.text or "-") for r in out if not r.is_duplicate) == [(0, "c"), (1, "a  b"), (3, "-"), (3, "-"), (4, "-")] and len(out) == len(rows)
+
+
+def test_is_seen(spark):
+    rows = spark.createDataFrame([(1, "a  b"), (2, "c")], "seq long, text string")
+    assert [r.seq for r in dedup.is_seen(rows, spark.createDataFrame([("a b",)], "canonical string")).collect()] == [1]
+    with pytest.raises(TypeError):
+        dedup.dedupe(rows.drop("text"))
+
+
+def test_numbered_lines(spark, tmp_path):
+    (tmp_path / "a").write_text("".join(f"{i}\n" if i % 3 else "\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        out = corpus.numbered_lines(spark, str(tmp_path / "a")).orderBy("line").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.line for r in out] == list(range(5000)) and all(r.text == (str(r.line) if r.line % 3 else "") for r in out)
+
+
+def test_first_json_object_in_odd_texts():
+    f = udfs.first_json_object
+    assert f('x {"a": "{\\"}{"} y }') == '{"a": "{\\"}{"}' and f('{"a": "never closed }') is None and f("```JSON\n{}\n```") == "{}" and f('{"a": "\\') is None and f("} {1}") == "{1}"
+
+
+def test_requests_in_flight_keep_order_and_bound(spark):
+    import threading
+
+    lock, now, most = threading.Lock(), [0], [0]
+
+    def slow(body):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        import time
+
+        time.sleep(0.01)
+        with lock:
+            now[0] -= 1
+        return body
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(distill.Config(concurrency=3).concurrency) as pool:
+        assert list(pool.map(slow, range(30))) == list(range(30)) and most[0] <= 3
+    meta = corpus.metadata_fixture(spark).coalesce(1).withColumn("seq", F.monotonically_increasing_id())
+    rows = ingest.distillation_rows(ingest.tier_a(meta, keep=("seq",)))
+
+    def broken(url, headers, body):
+        return (404, {}, "") if "Southern" in body else distill.canned(url, headers, body)
+
+    out = distill.distill(rows, distill.Config(), broken, sleep=lambda s: None).collect()
+    assert [r.seq for r in out] == [r.seq for r in rows.collect()] and {r.error for r in out} == {None, "CompletionError: status 404"}
+    with pytest.raises(Exception, match="status 404"):
+        distill.distill(rows, distill.Config(fail_fast=True), broken, sleep=lambda s: None).collect()
+    with pytest.raises(Exception, match="payment"):
+        distill.distill(rows, distill.Config(), lambda *_: (402, {}, "")).collect()
+
+
+def test_real_time_factor(spark):
+    row = spark.createDataFrame([(3.0, 12.0), (1.0, 0.0)], "w double, a double").select(evaluation.real_time_factor(F.col("w"), F.col("a")).alias("r")).collect()
+    assert [r.r for r in row] == [0.25, 0.0]
 
 
 def test_packed_round_trip(spark, tmp_path):
@@ -194,6 +304,20 @@ def test_streams(spark, tmp_path):
     assert sorted(r.seq for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3]
 
 
+def test_stream_with_anchors_and_earlier_batches(spark, tmp_path):
+    base = [f"w{i}" for i in range(48)]
+    near = " ".join([*base[:-1], "other"])
+    schema = "seq long, text string, anchor string"
+    first = spark.createDataFrame([(1, " ".join(base), "x"), (2, "short one", "y")], schema)
+    second = spark.createDataFrame([(3, near, "z"), (4, "new words", "done"), (5, "more new words", "q"), (6, "short  one", "r")], schema)
+    done = spark.createDataFrame([("done",)], "anchor string")
+    for rows in (first, second):
+        rows.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        resumable.curated(stream, str(tmp_path / "out"), str(tmp_path / "check"), anchors=done).awaitTermination()
+    assert sorted(r.seq for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 5]
+
+
 def test_event_stream_equals_batch(spark, sf, tmp_path):
     events = spark.read.parquet(f"{sf}/events.parquet")
     events.write.parquet(str(tmp_path / "events"))
