@@ -104,8 +104,8 @@ def dialogue(line: Column) -> Column:
     return run(line)
 
 
-def min_hashes(shingles: Column, rows: int) -> Column:
-    """Of an array of strings, the least 8-byte BLAKE2b digest for each of ``rows`` keys, as 16 hexadecimal digits.
+def min_hashes(canonical: Column, rows: int, n: int) -> Column:
+    """Of the word ``n``-grams of a text whose words stand between single spaces, the least 8-byte BLAKE2b digest for each of ``rows`` keys, as 16 hexadecimal digits.
 
     Fixed values: keys are 0 to ``rows`` - 1 as 4 bytes, least first; digests are numbers, least byte first.
     """
@@ -123,10 +123,14 @@ def min_hashes(shingles: Column, rows: int) -> Column:
 
     @arrow_udf("array<string>")
     def run(v: pa.Array) -> pa.Array:
-        texts = [[w.encode() for w in x or ()] for x in v.to_pylist()]
-        return pa.array([[least(raw, k) for k in keys] if raw else [] for raw in texts], pa.list_(pa.string()))
+        out = []
+        for x in v.to_pylist():
+            words = (x or "").encode().split(b" ")
+            shingles = list({b" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))})
+            out.append([least(shingles, k) for k in keys])
+        return pa.array(out, pa.list_(pa.string()))
 
-    return run(shingles)
+    return run(canonical)
 
 
 def _strict(x: str) -> bool:

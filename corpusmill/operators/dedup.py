@@ -56,8 +56,10 @@ def near_pairs(sets: DataFrame, *, threshold: float = P.JACCARD, order: str = "s
 
 def min_hashes(df: DataFrame, rows: int = P.LSH_ROWS, *, text: str = "text", order: str = "seq") -> DataFrame:
     """(order, signature): of each text that has shingles, the least keyed BLAKE2b digest of its shingles for ``rows`` keys."""
-    found = spread(df.select(order, text)).select(order, T.shingles(T.canonical(F.col(text))).alias("shingles")).where(F.size("shingles") > 0)
-    return found.select(order, udfs.min_hashes(F.col("shingles"), rows).alias("signature"))
+    # written first: Spark 4.1 doesn't take a UDF out of a projection if its argument holds a lambda function
+    canonical = saved(spread(df.select(order, text)).select(order, T.canonical(F.col(text)).alias("__text")))
+    enough = canonical.where(F.size(T.words(F.col("__text"))) >= P.FEWEST_WORDS)
+    return enough.select(order, udfs.min_hashes(F.col("__text"), rows, P.NGRAM).alias("signature"))
 
 
 def greedy(nodes: DataFrame, pairs: DataFrame, *, order: str = "seq") -> DataFrame:
