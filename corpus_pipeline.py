@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     known = quality_model.load_labels(spark, sf_dir).where("quality is not null").groupBy("doc_id").agg(F.round(F.avg("quality")).alias("label"))
     train = common.saved(stats.where(common.in_training("doc_id", 3, 1)).join(known, "doc_id").select("stats", "label"))
     scored = quality_model.scored(stats.select("text_key", "stats"), quality_model.fit(train))
-    rejected = scored.where("score < 0.5").select(F.col("text_key").alias("__key")).distinct()
-    return docs.join(rejected, F.xxhash64("text") == F.col("__key"), "left_anti")
+    rejected = scored.where("score < 0.5").select("text_key").distinct()
+    return docs.join(rejected, F.xxhash64(docs["text"]) == rejected["text_key"], "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,16 +39,17 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that each source's words come to its target: a row for each copy."""
-    # two hashes over a whole row stand for it; hashes pass over nulls, so it is told which columns have none
+    # two hashes over a whole row stand for it; hashes pass over nulls, so it is told which columns have none. The row is one
+    # column, so that its names clash with none here
     row = [*docs.columns, *(F.isnull(c) for c in docs.columns)]
-    keyed = docs.withColumns({"__h": F.xxhash64(*row), "__g": F.xxhash64(F.lit(1), *row)})
-    copies = mixing.mix(keyed, keys=("__h", "__g")).groupBy("__h", "__g").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
-    found = keyed.join(copies, ["__h", "__g"])
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", "source", F.xxhash64(*row).alias("h"), F.xxhash64(F.lit(1), *row).alias("g"))
+    copies = mixing.mix(keyed, keys=("h", "g")).groupBy("h", "g").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    found = keyed.select("row", "h", "g").join(copies, ["h", "g"])
     once = found.where("n = 1")
     # equal rows give their copies to one of them
-    again = found.where("n > 1").dropDuplicates(["__h", "__g"])
+    again = found.where("n > 1").dropDuplicates(["h", "g"])
     every = once.unionByName(again).where("copies > 0")
-    return every.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy")).select(*docs.columns)
+    return every.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

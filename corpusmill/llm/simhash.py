@@ -165,15 +165,15 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Rows with a null doc_id are compared like others; they stay only if their whole group has none, and then
     the least row of each such group stays.
     """
-    named = docs.select(*docs.columns)
-    # two hashes of 64 bits stand for the text: with the id they name a row's group, and only they leave the operator
-    keys = {"__h": F.xxhash64("text"), "__g": F.xxhash64(F.lit(1), "text")}
-    found = _grouped(named.select("doc_id", "text", *(k.alias(c) for c, k in keys.items())))
-    least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id"), "__h", "__g", F.col("component").alias("__group")).agg(F.count("*").alias("n"))
+    # two hashes of 64 bits stand for the text: with the id they name a row's group, and only they leave the operator; the row
+    # is one column, so that its names clash with none here
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
+    found = _grouped(keyed.select("doc_id", "text", "h", "g"))
+    least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("id"), F.col("h").alias("lh"), F.col("g").alias("lg"), F.col("component").alias("group")).agg(F.count("*").alias("n"))
     least = saved(least)
-    total = least.groupBy("__group").agg(F.sum("n").alias("__n"))
-    least = least.join(total, "__group").select("__id", F.col("__h").alias("__lh"), F.col("__g").alias("__lg"), "__group", "__n")
-    kept = named.withColumns(keys).join(least, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__lh")) & (F.col("__g") == F.col("__lg")))
-    once = kept.where("__n = 1").select(*docs.columns)
-    again = kept.where("__n > 1").groupBy("__group").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return once.unionByName(again)
+    total = least.groupBy(F.col("group").alias("of")).agg(F.sum("n").alias("rows"))
+    least = least.join(total, F.col("group") == F.col("of")).select("id", "lh", "lg", "group", "rows")
+    kept = keyed.select("row", "doc_id", "h", "g").join(least, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("lh")) & (F.col("g") == F.col("lg")))
+    once = kept.where("rows = 1").select("row")
+    again = kept.where("rows > 1").groupBy("group").agg(F.min("row").alias("row")).select("row")
+    return once.unionByName(again).select("row.*")

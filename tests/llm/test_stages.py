@@ -103,6 +103,48 @@ def test_personal_data(spark):
     assert set(out) == {"write to <EMAIL> or <EMAIL>", "no data", None} and all(r.n_chars == (len(t) if t else r.n_chars) for t, r in out.items())
 
 
+CLASHING = "__id long, __h long, __n long, h long, g string, row int, copies int, rows int, id long, n int, text_key long, group int, stats int"
+
+
+def test_stages_keep_columns_whose_names_they_use(spark):
+    rows = [(i, t := text(i % 9, 30 + i), "en", "st"[i % 2], len(t), *[i] * 4, f"g{i}", *[i] * 8) for i in range(40)]
+    docs = spark.createDataFrame(rows, f"{SCHEMA}, {CLASHING}")
+    at = f"{corpus_pipeline.common.scratch_dir(spark)}/clash"
+    docs.limit(4).selectExpr("doc_id", "cast(doc_id % 2 as int) as quality", "0 as toxic").write.mode("overwrite").parquet(f"{at}/labels.parquet")
+    given = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, at)
+        assert out.columns == docs.columns, name
+        assert all(r == given[r.doc_id] for r in out.collect()), name
+    assert corpus_pipeline.pack(spark, docs, at).count() > 0
+
+
+def test_stages_of_an_empty_table(spark, sf):
+    docs = spark.createDataFrame([], SCHEMA)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf).collect() == [], name
+
+
+def test_quality_gives_null_and_empty_texts_one_fate(spark, sf):
+    docs = table(spark, [(None, None, "en", "s"), (None, "", "en", "s"), (1, None, None, None), (1, "", None, None), (2, text(3), "en", "s"), (2, text(3), "en", "s")])
+    out = Counter((r.doc_id, r.text) for r in corpus_pipeline.quality(spark, docs, sf).collect())
+    assert len({out[None, ""] > 0, out[1, ""] > 0}) == len({out[None, None] > 0, out[1, None] > 0}) == 1 and out[2, text(3)] in (0, 2)
+
+
+def test_packing_by_weights(spark):
+    from corpusmill.llm import packing
+
+    docs = table(spark, [(i, text(i, 400), "en", "abc"[i % 3]) for i in range(60)])
+    weights = spark.createDataFrame([("a", 3.0), ("b", 1.0), ("c", 0.0)], "source string, weight double")
+    out = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), weights=weights).collect()
+    first = Counter()
+    for r in out:
+        if r.sequence_id < 6:
+            first[r.source] += r.length
+    assert first["c"] == 0 and abs(first["a"] - 3 * first["b"]) <= 4 * 256
+    assert {r.doc_id for r in out} == set(range(60))
+
+
 def test_packing_of_null_and_repeated_ids(spark):
     rows = [(None, text(1, 700), "en", "s"), (None, text(2, 50), "en", None), (4, text(3, 50), "en", "s"), (4, text(3, 50), "en", "s"), (4, "", "en", "s"), (5, None, "en", "t")]
     bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
