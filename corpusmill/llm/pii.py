@@ -171,9 +171,30 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _dots_before(text: str, at: int, done: int) -> Iterator[tuple[int, int, str]]:
+    """Each bare " dot " between the words, after ``done``, that lead up to ``at``."""
+    while True:
+        end = at
+        while end > done and text[end - 1].isspace():
+            end -= 1
+        begin = end - 3
+        while begin > done and text[begin - 1].isspace():
+            begin -= 1
+        if end == at or begin <= done or begin == end - 3 or text[end - 3 : end].lower() != "dot" or text[begin - 1] not in _LOCAL or text[begin - 1] == ".":
+            return
+        yield begin, at, "."
+        at = begin
+        while at > done and text[at - 1] in _LOCAL:
+            at -= 1
+
+
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
-    """at and dot in words where an address results; a bare " at " only beside a spelled or bracketed dot."""
-    edits = []
+    """at and dot in words where an address results; a bare " at " only beside a spelled or bracketed dot of the domain.
+
+    The local part's bare " dot " counts where at and a dot of the domain are spelled or bracketed too. "notes at
+    example.com" is as a rule no address, so a bare " at " before a plain domain stays.
+    """
+    edits, done = [], 0
     for m in _MAIL.finditer(text):
         at, dots = m["at"], [d for d in _DOTS.finditer(text, m.start("domain"), m.end("domain"))]
         if at == "@" and all(d[0] == "." for d in dots) and "." == "".join(set(x[0] for x in _DOTS.finditer(m["local"]))) and not re.search(_OPEN, m["local"]):
@@ -184,6 +205,9 @@ def _sign_edits(text: str) -> list[tuple[int, int, str]]:
         if not 2 <= len(last) <= 24 or not last.isalpha():
             continue
         inner = [(d.start(), d.end(), ".") for d in _DOTS.finditer(text, m.start("local"), m.end("local"))]
+        if at != "@" and any(d[0] != "." for d in dots):
+            inner += _dots_before(text, m.start(), done)
+        done = m.end()
         edits += [x for x in [*inner, (m.start("at"), m.end("at"), "@"), *((d.start(), d.end(), ".") for d in dots)] if text[x[0] : x[1]] != x[2]]
     for m in _NUMERIC.finditer(text):
         edits += [(d.start(), d.end(), ".") for d in _DOTS.finditer(text, m.start(), m.end()) if d[0] != "."]

@@ -122,6 +122,8 @@ def test_op3_plain_spans_on_random_texts():
         ("write to john.doe (at) example (dot) com now", "john.doe (at) example (dot) com"), ("mail jane at foo dot co dot uk please", "jane at foo dot co dot uk"), ("jоhn@exаmple.com hi", "jоhn@exаmple.com"),
         ("call +1 five five five one two three four five six seven", "+1 five five five one two three four five six seven"), ("card four one one one 1111 1111 one one one one", "four one one one 1111 1111 one one one one"),
         ("jo​hn@exam​ple.com", "jo​hn@exam​ple.com"), ("192[.]168[.]1[.]1", "192[.]168[.]1[.]1"), ("meet me at example.com today", None), ("one two three points at noon", None),
+        ("write john dot doe at example dot com", "john dot doe at example dot com"), ("j. dot doe at example dot com", "doe at example dot com"), ("Ann Dot  lee dot x (at) foo (dot) org.", "Ann Dot  lee dot x (at) foo (dot) org"),
+        ("john.doe at example.com", None), ("a dot b at example.com", None), (" dot doe at example dot com", "doe at example dot com"), ("dot doe at example dot com", "doe at example dot com"),
     ],
 )
 def test_op3_disguises(text, found):
