@@ -7,13 +7,19 @@ import hashlib
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from corpusmill.functions import patterns as P
 
+#: Bytes of text that are encoded at a time.
+ENCODED_BYTES = 1 << 18
+
 
 def _each(f, kind):
     """An Arrow UDF of one string column; null stays null."""
@@ -152,13 +158,21 @@ def _tokenizer(spec: str):
     return Tokenizer.from_str(spec)
 
 
+def ids_of(texts: pa.Array, spec: str) -> Iterator[list[list[int]]]:
+    """Ids of texts, in portions: an encoding holds some hundred bytes a token until its ids are taken."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // ENCODED_BYTES
+    cuts = np.r_[0, np.flatnonzero(np.diff(size)) + 1, len(texts)] if len(texts) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield [e.ids for e in _tokenizer(spec).encode_batch_fast([x or "" for x in texts.slice(int(a), int(b - a)).to_pylist()], add_special_tokens=False)]
+
+
 def encoded(text: Column, spec: str) -> Column:
     """Ids of a text by the tokenizer whose JSON is ``spec``, without special tokens."""
 
     @arrow_udf("array<int>")
     def run(v: pa.Array) -> pa.Array:
-        out = _tokenizer(spec).encode_batch([x or "" for x in v.to_pylist()], add_special_tokens=False)
-        return pa.array([e.ids for e in out], pa.list_(pa.int32()))
+        parts = [pa.array(x, pa.list_(pa.int32())) for x in ids_of(v, spec)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return run(text)
 

@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.functions import patterns as P, text as T, udfs
 
+#: Rows of an Arrow batch whose texts are encoded.
+BATCH_ROWS = 500
+
 
 @dataclass(frozen=True)
 class Trained:
@@ -127,28 +134,46 @@ def fallback_ids(spec: str) -> list[int]:
     return sorted(i for i, t in token_strings(spec).items() if len(t) == 1 and not t.isspace() and t not in P.CLITICS)
 
 
+def _counted(spec: str, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(id, n, held): how often each id stands in all of a partition's texts, and in those held out."""
+        n, own = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for b in batches:
+            held, at = b.column(1).to_numpy(zero_copy_only=False).astype(bool), 0
+            for part in udfs.ids_of(b.column(0), spec):
+                for into, ids in ((n, part), (own, [x for x, h in zip(part, held[at : at + len(part)]) if h])):
+                    into += np.bincount(np.fromiter(itertools.chain.from_iterable(ids), np.int64), minlength=size)
+                at += len(part)
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(n[seen], pa.int64()), pa.array(own[seen], pa.int64())], names=["id", "n", "held"])
+
+    return run
+
+
 def metrics(lines: DataFrame, spec: str, *, seed: int = P.HOLDOUT_SEED, fraction: float = P.HOLDOUT, rare_below: int = P.RARE_BELOW, text: str = "text", index: str = "line") -> DataFrame:
     """One row on a tokenizer over numbered lines: corpus-wide rare tokens, and ratios over the held-out lines.
 
     dead_pct counts rare tokens among those seen; unused_pct those never seen. Lengths are of byte characters, as tokens
-    are written; decoded_length is in characters of text. morph_f1 isn't computed and null.
+    are written; decoded_length is in characters of text. morph_f1 isn't computed and null. A partition hands on
+    a row for each id it has, not one for each token.
     """
     from tokenizers import Tokenizer
 
-    size = Tokenizer.from_str(spec).get_vocab_size()
-    lengths = F.array(*(F.lit(len(t)) for _, t in sorted(token_strings(spec).items())))
+    spark = lines.sparkSession
+    # lines may be long, so batches are short
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    size, strings = Tokenizer.from_str(spec).get_vocab_size(), token_strings(spec)
+    lengths = F.array(*(F.lit(len(strings.get(i, ""))) for i in range(max(strings) + 1)))
     single = F.array(*(F.lit(i) for i in fallback_ids(spec)), F.lit(-1))
-    rows = lines.withColumn("t", T.normalized(F.col(text))).where("t <> ''")
-    rows = rows.withColumn("ids", udfs.encoded(F.col("t"), spec)).withColumn("held", T.is_holdout(F.col(index), seed, fraction))
-    tokens = rows.select("held", "t", F.posexplode_outer("ids").alias("pos", "id"))
-    counts = tokens.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") < rare_below).alias("rare_tokens"), F.count("*").alias("seen_tokens"))
-    first = (F.col("pos") == 0) | F.col("pos").isNull()
-    held = tokens.where("held").agg(
-        F.coalesce(F.sum(F.when(first, F.size(T.words(F.col("t"))))), F.lit(0)).alias("words"), F.count("id").alias("content_tokens"),
-        F.coalesce(F.sum(F.when(F.col("id").isNotNull(), F.element_at(lengths, F.col("id") + 1))), F.lit(0)).alias("characters"),
-        F.coalesce(F.sum(F.when(first, F.length("t"))), F.lit(0)).alias("text_characters"),
-        F.count_if(F.array_contains(single, F.coalesce("id", F.lit(-2)))).alias("fallback_tokens"), F.count_if(first).alias("lines"),
+    rows = lines.select(F.col(text).alias("x"), T.is_holdout(F.col(index), seed, fraction).alias("held"))
+    # an empty text has no ids, so the heavy normalization runs once for each text, and once more for those held out
+    counts = rows.select(T.normalized(F.col("x")).alias("t"), "held").mapInArrow(_counted(spec, max(strings) + 1), "id int, n long, held long").groupBy("id").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
+    zero = F.lit(0).cast("long")
+    counts = counts.agg(
+        F.count_if(F.col("n") < rare_below).alias("rare_tokens"), F.count("*").alias("seen_tokens"), F.coalesce(F.sum("held"), zero).alias("content_tokens"),
+        F.coalesce(F.sum(F.col("held") * F.element_at(lengths, F.col("id") + 1)), zero).alias("characters"), F.coalesce(F.sum(F.when(F.array_contains(single, F.col("id")), F.col("held"))), zero).alias("fallback_tokens"),
     )
+    held = rows.where("held").select(T.normalized(F.col("x")).alias("t")).where("t <> ''").agg(F.coalesce(F.sum(F.size(T.words(F.col("t")))), zero).alias("words"), F.coalesce(F.sum(F.length("t")), zero).alias("text_characters"), F.count("*").alias("lines"))
     c = F.col
     return held.crossJoin(counts).select(
         F.lit(size).alias("vocab_size"), "lines", "words", "content_tokens", "rare_tokens", T.ratio(c("content_tokens"), c("words")).alias("fertility"), T.ratio(c("fallback_tokens"), c("content_tokens"), 100.0).alias("r_char"),

@@ -331,3 +331,42 @@ def test_files_are_numbered_in_order(spark, tmp_path):
     (tmp_path / "a.txt").write_text("first\n")
     assert [(r.row_idx, r.text) for r in corpus.raw_rows(spark, str(tmp_path)).orderBy("row_idx").collect()] == [(0, "first"), (1, "x"), (2, "y")]
     assert P.UNK_ID == 0
+
+
+def test_texts_are_encoded_in_bounded_portions(monkeypatch):
+    """However many texts a batch has, the encodings held at a time are those of about ENCODED_BYTES."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from corpusmill.functions import udfs
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    real, portions = udfs._tokenizer(spec), []
+
+    class Recorder:
+        def encode_batch_fast(self, texts, **options):
+            portions.append(sum(len(x.encode()) for x in texts))
+            return real.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(udfs, "ENCODED_BYTES", 10_000)
+    monkeypatch.setattr(udfs, "_tokenizer", lambda _: Recorder())
+    texts = [f"text {i} " * (i % 90) if i % 7 else None for i in range(600)]
+    got = [x for part in udfs.ids_of(pa.array(texts), spec) for x in part]
+    assert got == [real.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert len(portions) > 10 and max(portions) < 10_000 + max(len(x or "") for x in texts) and list(udfs.ids_of(pa.array([], "string"), spec)) == []
+
+
+def test_metrics_make_no_row_for_each_token(spark):
+    import public_tokenizers
+
+    from corpusmill.operators import tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    report = tokenizer.metrics(spark.createDataFrame([(i, "one two three " * 50) for i in range(300)], "line long, text string"), spec, fraction=0.5)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    r = report.first()
+    assert "Generate" not in plan and "mapInArrow" in plan.replace("MapInArrow", "mapInArrow") and r.words == 150 * r.lines and 0 < r.lines < 300
+    none = tokenizer.metrics(spark.createDataFrame([], "line long, text string"), spec).first()
+    assert (none.lines, none.words, none.content_tokens, none.rare_tokens, none.fertility) == (0, 0, 0, 0, 0.0)
