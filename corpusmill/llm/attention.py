@@ -1,7 +1,7 @@
 """A small causal self-attention model over subword ids, in numpy: one head, one hidden layer, a class softmax.
 
 A subword's probability is that of its class, which the attention predicts, times its share of the class in the corpus.
-Classes come from a mixture of unigrams over sampled texts: each subword belongs to the component that makes most of it,
+Classes come from a mixture of unigrams over all training texts: each subword belongs to the component that makes most of it,
 as a rule a language or a kind of text, and within a component classes are runs of subwords by falling frequency with
 about equal mass. So the attention tells from the context which words are likely, not only how frequent they are.
 """
@@ -21,29 +21,49 @@ WIDTH, HIDDEN, CLASSES = 16, 32, 128
 #: Subwords with an embedding of their own; rarer ones share that of their class.
 OWN_EMBEDDINGS = 6000
 WINDOW, STRIDE = 32, 16
-BATCH, STEPS, RATE = 128, 1000, 6e-3
 #: Components of the mixture that classes come from, rounds of its fit, and subwords that it knows.
 COMPONENTS, FIT_ROUNDS, FIT_SUBWORDS = 8, 12, 8192
-#: The learning rate and batch of the rounds over all training documents.
-ROUND_RATE, ROUND_BATCH = 2e-3, 128
+#: Learning rates of the first and of the later rounds over all training documents, their batch, and the steps that a group makes at least.
+RATE, ROUND_RATE, ROUND_BATCH, STEPS = 6e-3, 2e-3, 128, 500
 #: Windows that are scored at a time: their class logits stay in a core's cache.
 SCORED = 64
 SEED = 3
 
 
-def components_of(counts: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
-    """The component of each subword: a mixture of unigrams fitted to the texts' ids by expectation maximisation."""
-    known = np.argsort(-counts, kind="stable")[:FIT_SUBWORDS]
-    place = np.full(len(counts), -1, np.int64)
+def bags_of(texts: list[np.ndarray], known: np.ndarray, n: int) -> np.ndarray:
+    """How often each ``known`` subword, of ``n``, stands in each text that has at least 20 of them."""
+    place = np.full(n, -1, np.int64)
     place[known] = np.arange(len(known))
     x = np.zeros((len(texts), len(known)), np.float32)
     for i, ids in enumerate(texts):
         own = place[ids]
         x[i] = np.bincount(own[own >= 0], minlength=len(known))
-    x = x[x.sum(1) >= 20]
-    out = np.zeros(len(counts), np.int64)
+    return x[x.sum(1) >= 20]
+
+
+def shared_out(x: np.ndarray, phi: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An expectation step over bags: (texts, subwords of each component), sums over texts that may be added up."""
+    score = x @ np.log(phi / phi.sum(1, keepdims=True)).T.astype(np.float32) + np.log(weight)
+    r = np.exp(score - score.max(1, keepdims=True))
+    r /= r.sum(1, keepdims=True)
+    return r.sum(0), r.T @ x
+
+
+def updated(texts: np.ndarray, subwords: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A maximisation step: (each component's subwords, its weight)."""
+    return subwords + 0.01, (texts + 1) / (texts.sum() + COMPONENTS)
+
+
+def known_of(counts: np.ndarray) -> np.ndarray:
+    return np.argsort(-counts, kind="stable")[:FIT_SUBWORDS]
+
+
+def seeded(counts: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
+    """(phi, weight) from which a mixture of unigrams over all texts starts: one fitted to some texts' ids; None if they are too few."""
+    known = known_of(counts)
+    x = bags_of(texts, known, len(counts))
     if len(x) < COMPONENTS:
-        return out
+        return None
     share = x / x.sum(1, keepdims=True)
     # the first centres lie far apart, each the text least like those before it
     centre, like = [0], share @ share[0] / np.linalg.norm(share, axis=1)
@@ -53,12 +73,14 @@ def components_of(counts: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
     phi = share[centre] + (counts[known] + 1) / (counts[known] + 1).sum()
     weight = np.full(COMPONENTS, 1 / COMPONENTS)
     for _ in range(FIT_ROUNDS):
-        score = x @ np.log(phi / phi.sum(1, keepdims=True)).T.astype(np.float32) + np.log(weight)
-        r = np.exp(score - score.max(1, keepdims=True))
-        r /= r.sum(1, keepdims=True)
-        weight = (r.sum(0) + 1) / (len(x) + COMPONENTS)
-        phi = r.T @ x + 0.01
-    out[known] = (weight[:, None] * phi / phi.sum(1, keepdims=True)).argmax(0)
+        phi, weight = updated(*shared_out(x, phi, weight))
+    return phi, weight
+
+
+def components_of(counts: np.ndarray, phi: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The component of each subword: that which makes most of it."""
+    out = np.zeros(len(counts), np.int64)
+    out[known_of(counts)] = (weight[:, None] * phi / phi.sum(1, keepdims=True)).argmax(0)
     return out
 
 
@@ -249,38 +271,29 @@ class Adam:
             getattr(self.model, x)[...] -= rate * (self.m[x] / (1 - 0.9**self.steps)) / (np.sqrt(self.v[x] / (1 - 0.99**self.steps)) + 1e-8)
 
 
-def train(counts: np.ndarray, ids: np.ndarray, starts: np.ndarray, begin: int, *, steps: int = STEPS) -> Attention:
-    """The model that rounds over all documents start from: classes, and Adam on random batches of the texts' windows.
-
-    Without windows it is the untrained model (class shares alone).
-    """
-    one_blas_thread()
-    rng = np.random.default_rng(SEED)
-    texts = [ids[a:b] for a, b in zip(starts[:-1], starts[1:])]
-    model = Attention.new(counts, rng, components_of(counts, texts))
-    inputs, targets, _ = windows(ids, starts, begin)
+def whole_windows(ids: np.ndarray, starts: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of WINDOW + 1 ids, the text of each): every id of every text is in one row a target; the first of a row is its
+    context, ``begin`` at a text's start, and short rows are filled with -1."""
     size = np.diff(starts)
-    if not len(inputs):
-        model.u[:] = 0
-        return model
-    n = np.where(size > 0, 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE)), 0)
-    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    real = (k * STRIDE)[:, None] + np.arange(WINDOW) < np.repeat(size, n)[:, None]
-    adam = Adam(model)
-    for i in range(steps):
-        pick = rng.integers(0, len(inputs), BATCH)
-        adam.step(inputs[pick], targets[pick], real[pick], RATE * min(1.0, (i + 1) / 30) * (0.05 + 0.95 * (1 - i / steps)))
-    return model
+    n = -(-size // WINDOW)
+    text = np.repeat(np.arange(len(size)), n)
+    at = ((np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * WINDOW)[:, None] + np.arange(-1, WINDOW)
+    rows = np.where((at >= 0) & (at < size[text][:, None]), ids[np.clip(starts[text][:, None] + at, 0, max(0, len(ids) - 1))] if len(ids) else 0, -1).astype(np.int32)
+    rows[at[:, 0] < 0, 0] = begin
+    return rows, text
 
 
-def trained_on(model: Attention, rows: np.ndarray, weight: np.ndarray, seed: int) -> None:
-    """One pass over windows (rows of WINDOW + 1 ids, of which the first is context; below 0: none) with weights."""
+def trained_on(model: Attention, rows: np.ndarray, weight: np.ndarray, seed: int, rate: float = ROUND_RATE, least: int = 1) -> None:
+    """A pass over windows (rows of WINDOW + 1 ids, of which the first is context; below 0: none) with weights; where one has fewer
+    than ``least`` steps, as many whole passes as make them."""
     one_blas_thread()
-    order = np.random.default_rng(seed).permutation(len(rows))
-    adam, steps = Adam(model), -(-len(rows) // ROUND_BATCH)
+    rng = np.random.default_rng(seed)
+    passes = -(-least * ROUND_BATCH // max(1, len(rows)))
+    order = np.concatenate([rng.permutation(len(rows)) for _ in range(max(1, passes))])
+    adam, steps = Adam(model), -(-len(order) // ROUND_BATCH)
     for i in range(steps):
         r = rows[order[i * ROUND_BATCH : (i + 1) * ROUND_BATCH]]
         w = weight[order[i * ROUND_BATCH : (i + 1) * ROUND_BATCH]]
         real = (r[:, 1:] >= 0) * w[:, None]
         r = np.maximum(r, 0)
-        adam.step(r[:, :-1], r[:, 1:], real, ROUND_RATE * min(1.0, (i + 1) / 10) * (1 - 0.9 * i / steps))
+        adam.step(r[:, :-1], r[:, 1:], real, rate * min(1.0, (i + 1) / 10) * (1 - 0.9 * i / steps))

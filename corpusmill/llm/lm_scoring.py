@@ -4,10 +4,11 @@ First, words are counted over all training documents. Documents are dealt in blo
 words, parted by hash, and gets back their corpus counts and subwords, so a word that stands in every document is a row per
 block. The same counts give those of all subwords.
 
-The attention is trained in numpy. It starts from a bounded draw of texts, by hash; then come rounds over all training
-documents: every text gives a window for each STRETCH characters, from hashed places, so what is learnt from grows with
-the input. Windows are dealt in groups by hash, each group goes over its own from the common weights, and the
-groups' weights are averaged by the windows they saw. Nothing depends on the order of rows.
+The attention is trained in numpy on every id of every training document. Its classes come from a mixture of unigrams: a
+bounded draw gives the point to start from, then come steps over all training documents, whose sums are exact. Its
+weights start at random; then come rounds in which documents are dealt in groups by hash, each group goes over all windows of its
+documents from the common weights, and the groups' weights are averaged by the windows they saw. Each document is
+in one round. Nothing depends on the order of rows.
 
 Then every block scores its texts in overlapping windows, each id once. A word w with subwords s1..sm, read after its
 context, has the probability
@@ -36,12 +37,13 @@ from corpusmill.llm.common import in_training, n_blocks, saved, short_batches
 from corpusmill.llm.quality import _summed
 from corpusmill.llm.tokens import tokenizer
 
-#: The start: so many training documents, and characters of each from a hashed place.
-TRAIN_DOCS, TRAIN_CHARS = 1200, 8000
-#: Rounds over all training documents: a window from each STRETCH characters, windows of a group, rounds.
-STRETCH, GROUP_WINDOWS, ROUNDS = 1280, 32_768, 2
-#: Characters in which a window's ids are sought.
-WINDOW_CHARS = 200
+#: Where the mixture's steps over all texts begin: so many training documents, and characters of each, in stretches of WINDOW_CHARS
+#: from each STRETCH characters.
+SEED_DOCS, SEED_CHARS, STRETCH, WINDOW_CHARS = 1200, 8000, 1280, 200
+#: Steps of the mixture over all training documents, and the texts whose bags are held at a time.
+MIXTURE_STEPS, BAGS = 1, 64
+#: Windows of a group, and rounds.
+GROUP_WINDOWS, ROUNDS = 65_536, 2
 #: Bytes of text that a block scores at a time.
 SCORED_BYTES = 3 << 20
 #: Bytes of text whose words a block counts at a time.
@@ -194,7 +196,7 @@ def score(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
     masses[END] = ends
     bpe = tokenizer(tokenizer_path)
     corpus = Corpus(masses + 0.5, bpe.begin_with_space(END + 1) | (np.arange(END + 1) == END), once, tokens)
-    model = _refined(_started(rows, tokenizer_path, masses, n_rows), rows, tokenizer_path)
+    model = _trained(rows, tokenizer_path, masses, _mixture(rows, tokenizer_path, masses, n_rows))
     # a model of fixed size
     shared = spark.sparkContext.broadcast((model.dumps(), corpus))
     floor = math.log10(tokens + types + 1)
@@ -241,23 +243,38 @@ def _portions(t: pa.Table, most: int = SCORED_BYTES) -> Iterator[tuple[pa.Array,
         yield texts.slice(int(a), int(b - a)), learn[a:b]
 
 
-def _started(rows: DataFrame, path: str, masses: np.ndarray, n_rows: int) -> Attention:
-    """The model fitted to the windows of the TRAIN_DOCS training texts of the least hashes, each read from a hashed place."""
+def _streamed(texts: pa.Array, bpe) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts, each with its end, and where each text's begin (one more for the last's end)."""
+    words = Words(texts)
+    ids, begin, size = subwords_of(words.distinct, bpe)
+    ends = np.r_[0, np.cumsum(size[words.number])][words.starts]
+    return np.insert(stretched(ids, begin[words.number], size[words.number]), ends[1:], END), ends + np.arange(len(ends))
+
+
+def _mixture(rows: DataFrame, path: str, masses: np.ndarray, n_rows: int) -> np.ndarray | None:
+    """The component of each subword, by a mixture over all training texts.
+
+    It starts from one fitted to stretches of the SEED_DOCS texts of the least hashes; None without enough texts.
+    """
+    spark = rows.sparkSession
     h = F.xxhash64(F.lit("lm"), F.col("doc_id").cast("string"), "text")
     taught = rows.where("learn and text is not null").withColumn("h", h)
-    near = taught.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * TRAIN_DOCS / max(1, n_rows)) + 64))
-    place = F.pmod(F.shiftright("h", 30), F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1) + 1
-    drawn = near.select("h", F.pmod("h", F.lit(1 << 30)).alias("order"), F.substring("text", place, F.lit(TRAIN_CHARS)).alias("part"))
-    texts = [r.part for r in drawn.orderBy("order", "h", "part").limit(TRAIN_DOCS).collect()]
-    words = Words(pa.array(texts, pa.string()))
-    ids, begin, size = subwords_of(words.distinct, tokenizer(path))
-    stream = stretched(ids, begin[words.number], size[words.number])
-    starts = np.r_[0, np.cumsum(size[words.number])][words.starts]
-    return attention.train(masses, np.insert(stream, starts[1:], END), starts + np.arange(len(starts)), END)
+    near = taught.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * SEED_DOCS / max(1, n_rows)) + 64))
+    drawn = near.select("h", F.pmod("h", F.lit(1 << 30)).alias("order"), "text").mapInArrow(_seeds, "h long, order long, part string")
+    texts = [r.part for r in drawn.orderBy("order", "h", "part").limit(SEED_DOCS).collect()]
+    stream, starts = _streamed(pa.array(texts, pa.string()), tokenizer(path))
+    found = attention.seeded(masses, [stream[a:z] for a, z in zip(starts[:-1], starts[1:])])
+    for _ in range(MIXTURE_STEPS if found else 0):
+        shared = spark.sparkContext.broadcast((*found, attention.known_of(masses)))  # of fixed size
+        sums = _summed(taught.select("text").mapInArrow(_bagged(path, shared, len(masses)), "i int, pid long, v array<double>"), 1)
+        if len(sums):
+            v = sums[0]
+            found = attention.updated(v[: attention.COMPONENTS], v[attention.COMPONENTS :].reshape(attention.COMPONENTS, -1))
+    return attention.components_of(masses, *found) if found else None
 
 
 def _stretches(text: str, h: int) -> Iterator[tuple[int, str]]:
-    """(place, characters) of a text's windows: one from each STRETCH characters, from hashed places, at words' begins."""
+    """(place, characters) of a text's stretches: one from each STRETCH characters, from hashed places, at words' begins."""
     for k in range(max(1, math.ceil(len(text) / STRETCH))):
         room = max(1, min(STRETCH, len(text) - k * STRETCH) - WINDOW_CHARS // 2)
         at = k * STRETCH + zlib.crc32(f"{h}:{k}".encode()) % room
@@ -266,24 +283,41 @@ def _stretches(text: str, h: int) -> Iterator[tuple[int, str]]:
         yield at, text[at : at + WINDOW_CHARS]
 
 
-def _windowed(path: str):
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        parts = [" ".join(x for _, x in _stretches(t, h))[:SEED_CHARS] for h, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(parts, pa.string())], names=["h", "order", "part"])
+
+
+def _bagged(path: str, shared, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(h, ids): windows of WINDOW + 1 ids, the first of which is context; short ones are filled with -1."""
+        """The sums of an expectation step over a partition's texts."""
+        attention.one_blas_thread()
+        bpe, (phi, weight, known), sums = tokenizer(path), shared.value, None
+        for b in batches:
+            stream, starts = _streamed(b.column(0), bpe)
+            for lo in range(0, len(starts) - 1, BAGS):
+                own = starts[lo : lo + BAGS + 1]
+                x = attention.bags_of([stream[a:z] for a, z in zip(own[:-1], own[1:])], known, size)
+                if len(x):
+                    now = np.concatenate([v.ravel().astype(float) for v in attention.shared_out(x, phi, weight)])
+                    sums = now if sums is None else sums + now
+        if sums is not None:
+            from pyspark import TaskContext
+
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sums], pa.list_(pa.float64()))], names=["i", "pid", "v"])
+
+    return run
+
+
+def _ids(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(g, h, h2, ids): all ids of each text with its end, in two bytes each."""
         bpe = tokenizer(path)
         for b in batches:
-            found = [(at, part, at + len(part) >= len(t)) for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for at, part in _stretches(t, h)]
-            words = Words(pa.array([f[1] for f in found], pa.string()))
-            ids, begin, size = subwords_of(words.distinct, bpe)
-            stream = stretched(ids, begin[words.number], size[words.number])
-            ends = np.r_[0, np.cumsum(size[words.number])][words.starts]
-            rows = np.full((len(found), WINDOW + 1), -1, np.int32)
-            for i, ((at, _, end), a, z) in enumerate(zip(found, ends[:-1], ends[1:])):
-                # a stretch's last word may be cut, so it is left out unless the text ends with it
-                own = [*([END] if at == 0 else []), *stream[a:z].tolist(), *([END] if end else [])]
-                rows[i, : min(len(own), WINDOW + 1)] = own[: WINDOW + 1]
-            rows = rows[rows[:, 1] >= 0]
-            raw = [r.tobytes() for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array(raw, pa.binary())], names=["h", "ids"])
+            stream, starts = _streamed(b.column(3), bpe)
+            stream = stream.astype("<u2")
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), pa.array([stream[a:z].tobytes() for a, z in zip(starts[:-1], starts[1:])], pa.binary())], names=["g", "h", "h2", "ids"])
 
     return run
 
@@ -295,25 +329,33 @@ def _learnt(shared, k: int):
         # in an order of their own: a task that runs again learns alike
         own = sorted(zip(t.column("ids").to_pylist(), t.column("n").to_pylist()))
         group = t.column("g")[0].as_py()
-        ids = np.stack([np.frombuffer(r, np.int32) for r, _ in own])
-        attention.trained_on(net, ids, 1 + np.log(np.array([x for _, x in own], float)), 1000 * k + group)
-        flat = np.concatenate([getattr(net, x).ravel() for x in attention.TRAINED]).astype(float) * len(own)
-        return pa.table({"i": pa.array([0], pa.int32()), "pid": pa.array([group], pa.int64()), "v": pa.array([np.r_[flat, len(own)]], pa.list_(pa.float64()))})
+        stream = np.frombuffer(b"".join(r for r, _ in own), "<u2").astype(np.int64)
+        windows, text = attention.whole_windows(stream, np.cumsum([0, *(len(r) // 2 for r, _ in own)]), END)
+        rate = attention.ROUND_RATE if k else attention.RATE
+        attention.trained_on(net, windows, np.array([x for _, x in own], float)[text], 1000 * k + group, rate, attention.STEPS)
+        flat = np.concatenate([getattr(net, x).ravel() for x in attention.TRAINED]).astype(float) * len(windows)
+        return pa.table({"i": pa.array([0], pa.int32()), "pid": pa.array([group], pa.int64()), "v": pa.array([np.r_[flat, len(windows)]], pa.list_(pa.float64()))})
 
     return run
 
 
-def _refined(model: Attention, rows: DataFrame, path: str) -> Attention:
-    """The model after ROUNDS rounds over windows of all training documents. A window that occurs n times weighs 1 + ln n."""
+def _trained(rows: DataFrame, path: str, masses: np.ndarray, component: np.ndarray | None) -> Attention:
+    """The model after ROUNDS rounds, which go over all ids of all training documents. Rows that are equal are one text with a weight."""
     spark = rows.sparkSession
-    taught = rows.where("learn and text is not null").select("text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"))
-    windows = saved(taught.mapInArrow(_windowed(path), "h long, ids binary").groupBy("h", "ids").agg(F.count("*").alias("n")))
-    groups = max(1, math.ceil(windows.count() / GROUP_WINDOWS))
+    model = Attention.new(masses, np.random.default_rng(attention.SEED), component)
+    if not masses.sum():
+        model.u[:] = 0
+        return model
+    text = F.coalesce("text", F.lit(""))
+    taught = rows.where("learn").select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("h"), F.hash(text, F.col("doc_id").cast("string")).alias("h2"), text.alias("text"))
+    groups = max(1, math.ceil(masses.sum() / WINDOW / ROUNDS / GROUP_WINDOWS))
+    spaces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(4 * groups, 4096))
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model.dumps())  # of fixed size
-
-        mine = windows.where(F.pmod(F.shiftright("h", 8), F.lit(ROUNDS)) == k).withColumn("g", F.pmod(F.xxhash64("h", "ids"), F.lit(groups)))
-        summed = _summed(mine.groupBy("g").applyInArrow(_learnt(shared, k), "i int, pid long, v array<double>"), 1)
+        mine = taught.where(F.pmod("h", F.lit(ROUNDS)) == k).select(F.pmod(F.shiftright("h", 8), F.lit(groups)).cast("long").alias("g"), "h", "h2", "text")
+        ids = mine.mapInArrow(_ids(path), "g long, h long, h2 int, ids binary").repartition(spaces, "g")
+        texts = ids.groupBy("g", "h", "h2").agg(F.first("ids").alias("ids"), F.count("*").alias("n"))
+        summed = _summed(texts.groupBy("g").applyInArrow(_learnt(shared, k), "i int, pid long, v array<double>"), 1)
         if len(summed):
             flat, at = summed[0][:-1] / summed[0][-1], 0
             for x in attention.TRAINED:

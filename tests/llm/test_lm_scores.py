@@ -1,6 +1,7 @@
 """Scores by the language model against plain loops, and what training may depend on."""
 
 import math
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -131,3 +132,33 @@ def test_order_of_rows_makes_no_difference(spark, sf):
     assert all(a[k].score == pytest.approx(b[k].score, rel=1e-5) for k in a)
     taught = [r for r in a.values() if not r.held_out]
     assert sum(r.score for r in taught) > sum(r.base_score for r in taught)
+
+
+def test_every_id_is_learnt_from_once():
+    ids, starts = np.arange(300), np.array([0, 0, 1, 100, 132, 300])
+    rows, text = attention.whole_windows(ids, starts, 999)
+    assert sorted(rows[:, 1:][rows[:, 1:] >= 0].tolist()) == ids.tolist()
+    for row, t in zip(rows, text):
+        own = row[1:][row[1:] >= 0]
+        assert (np.diff(own) == 1).all() and starts[t] <= own[0] and own[-1] < starts[t + 1]
+        assert row[0] == (999 if own[0] == starts[t] else own[0] - 1)
+    assert len(attention.whole_windows(ids[:0], np.array([0]), 999)[0]) == 0
+
+
+def test_training_goes_over_all_documents(spark, monkeypatch):
+    """The rounds' windows and the mixture's texts are those of all training documents, in full, however long they are."""
+    from corpusmill.llm import lm_scoring
+
+    bpe = tokenizer(PATH)
+    texts = ["one two three four five six seven " * (400 if i % 9 == 0 else 1 + i) for i in range(60)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learn = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 != 2]
+    n = {i: sum(len(bpe.plain(" " + w)) for w in (texts[i] or "").split()) + 1 for i in learn}
+    seen, summed = [], lm_scoring._summed
+    monkeypatch.setattr(lm_scoring, "_summed", lambda *a: seen.append(summed(*a)) or seen[-1])
+    monkeypatch.setattr(lm_scoring, "SEED_DOCS", 20)
+    score(docs, PATH).count()
+    masses, mixture, *rounds = seen
+    assert masses[0].sum() == sum(n.values())
+    assert sum(r[0][-1] for r in rounds) == sum(-(-x // attention.WINDOW) for x in n.values())
+    assert mixture[0][: attention.COMPONENTS].sum() == pytest.approx(sum(x >= 20 for x in n.values()))
