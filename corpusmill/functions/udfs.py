@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -155,6 +156,8 @@ def is_json(text: Column) -> Column:
 def _tokenizer(spec: str):
     from tokenizers import Tokenizer
 
+    # a task has one core, and each thread would keep memory of its own
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokenizer.from_str(spec)
 
 
