@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import glob
 import io
 import os
@@ -27,9 +28,32 @@ COMPONENTS, FIT_ROUNDS, FIT_SUBWORDS = 8, 12, 8192
 RATE, ROUND_RATE, ROUND_BATCH, STEPS = 6e-3, 2e-3, 128, 500
 #: Windows that are scored at a time: their class logits stay in a core's cache.
 SCORED = 64
+#: Windows whose gradient is taken at a time, for the same reason.
+STEPPED = 32
+#: Rows of a product with all classes that are multiplied at a time.
+ROWS = 256
 SEED = 3
 
 
+@functools.lru_cache(maxsize=64)
+def _room(name: str, kind: np.dtype, *shape: int) -> np.ndarray:
+    """An array to write to, of which a process has one for each name and shape: fresh ones cost more than what fills them."""
+    return np.empty(shape, kind)
+
+
+def _by_rows(a: np.ndarray, w: np.ndarray, out: np.ndarray) -> None:
+    """``a @ w``, in stacks of ROWS rows: OpenBLAS multiplies matrices of under a million steps without copies of them."""
+    cut = len(a) // ROWS * ROWS
+    np.matmul(a[:cut].reshape(-1, ROWS, a.shape[1]), w, out=out[:cut].reshape(-1, ROWS, w.shape[1]))
+    np.matmul(a[cut:], w, out=out[cut:])
+
+
+@functools.lru_cache(maxsize=64)
+def _causal(length: int, kind: np.dtype) -> np.ndarray:
+    """1 where a position sees another, itself included."""
+    return np.tri(length, dtype=kind)
+
+
 def bags_of(texts: list[np.ndarray], known: np.ndarray, n: int) -> np.ndarray:
     """How often each ``known`` subword, of ``n``, stands in each text that has at least 20 of them."""
     place = np.full(n, -1, np.int64)
@@ -153,69 +177,155 @@ class Attention:
         logits += self.b
         return {"x": x, "q": q, "k": k, "v": v, "a": s, "c": c, "y": y, "h": h, "z": z, "logits": logits}
 
+    def exponentials(self, z: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(t, w, own, low): class c has the probability t[i, c] * w[c] / (t @ w)[i] after state i; own[i] is the logit of class
+        ``cls[i]``, less low[i], by which the row's exponents were lowered.
+
+        Rows are lowered only where their exponentials would leave the range of 32 bits; else w holds what biases make of them.
+        """
+        t = _room("t", self.u.dtype, len(z), CLASSES)
+        _by_rows(z, self.u, t)
+        at = np.arange(len(cls)) * CLASSES + cls
+        if len(z) and t.max() < 60 and abs(self.b).max() < 60:
+            own = t.reshape(-1)[at] + self.b[cls]
+            np.exp(t, out=t)
+            w = np.exp(self.b)
+            total = t @ w
+            if total.min() > 1e-25:
+                return t, w, own, total
+            _by_rows(z, self.u, t)
+        t += self.b
+        if len(z):
+            t -= t.max(-1, keepdims=True)
+        own = t.reshape(-1)[at]
+        np.exp(t, out=t)
+        w = np.ones(CLASSES, t.dtype)
+        return t, w, own, t @ w
+
+    def states(self, row: np.ndarray, first: int = 0) -> dict[str, np.ndarray]:
+        """What ``forward`` makes before the logits, for rows of the embedding, as matrices of a row for each position from ``first`` on.
+
+        The attention's weights are ``s`` times ``r``.
+        """
+        n, length = row.shape
+        kind, m = self.e.dtype, length - first
+        x = np.take(self.e, row, axis=0, out=_room("x", kind, n, length, WIDTH), mode="clip")
+        x += self.p[:length]
+        flat = x.reshape(-1, WIDTH)
+        own = flat if not first else np.ascontiguousarray(x[:, first:]).reshape(-1, WIDTH)
+        k, v = (np.matmul(flat, w, out=_room(name, kind, len(flat), WIDTH)).reshape(x.shape) for name, w in (("k", self.k), ("v", self.v)))
+        q = np.matmul(own, self.q * kind.type(WIDTH**-0.5), out=_room("q", kind, len(own), WIDTH)).reshape(n, m, WIDTH)
+        s = np.matmul(q, k.transpose(0, 2, 1), out=_room("s", kind, n, m, length))
+        if s.size and s.max() > 60:
+            np.minimum(s, kind.type(60), out=s)
+        np.exp(s, out=s)
+        s *= _causal(length, kind)[first:]
+        r = s.reshape(-1, length) @ np.ones(length, kind)
+        np.divide(1, r, out=r)
+        c = np.matmul(s, v, out=_room("c", kind, n, m, WIDTH)).reshape(-1, WIDTH)
+        c *= r[:, None]
+        y = np.matmul(c, self.o, out=_room("y", kind, len(c), WIDTH))
+        y += own
+        h = np.matmul(y, self.w1, out=_room("h", kind, len(y), HIDDEN))
+        np.maximum(h, 0, out=h)
+        z = np.matmul(h, self.w2, out=_room("z", kind, len(y), WIDTH))
+        z += y
+        return {"x": flat, "q": q, "k": k, "v": v, "s": s, "r": r, "c": c, "y": y, "h": h, "z": z}
+
     def log_prob(self, ids: np.ndarray, target: np.ndarray, start: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probabilities of the classes of the targets from ``first`` on, and of any word's begin in their place.
 
         ``start``: the share of each class that begins a word.
         """
-        t = self.forward(ids, first)["logits"].reshape(-1, CLASSES)
-        if len(t) and t.max() > 80:
-            np.minimum(t, np.float32(80), out=t)
-        own = t[np.arange(len(t)), self.cls[target.ravel()]]
-        total, begins = (np.exp(t, out=t) @ np.stack([np.ones(CLASSES, np.float32), start.astype(np.float32)], 1)).T
-        return own - np.log(total), np.log(begins) - np.log(total)
+        return self._log_prob(self.row[ids], self.cls[target], start, first)
+
+    def _log_prob(self, row: np.ndarray, cls: np.ndarray, start: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        t, w, own, total = self.exponentials(self.states(row, first)["z"], cls.ravel())
+        log = np.log(total)
+        return own - log, np.log(t @ (w * start.astype(w.dtype))) - log
 
     def score(self, ids: np.ndarray, starts: np.ndarray, begin: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every id of several texts, given the ids before it in its window: natural log-probabilities of its class and
-        of a word's begin in its place."""
-        inputs, targets, scored = windows(ids, starts, begin)
-        whole = scored[:, 0] if len(scored) else np.zeros(0, bool)
-        out, begins = np.zeros(len(ids)), np.zeros(len(ids))
+        of a word's begin in its place. The windows are those of ``windows``."""
         size = np.diff(starts)
         n = np.where(size > 0, 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE)), 0)
-        at = starts[:-1].repeat(n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * STRIDE
-        for first, rows in ((0, np.flatnonzero(whole)), (WINDOW - STRIDE, np.flatnonzero(~whole))):
-            for lo in range(0, len(rows), SCORED):
-                r = rows[lo : lo + SCORED]
-                s = scored[r, first:]
-                place = (at[r][:, None] + np.arange(first, WINDOW))[s]
-                for into, found in zip((out, begins), self.log_prob(inputs[r], targets[r, first:], start, first)):
-                    into[place] = found.reshape(s.shape)[s]
-        return out, begins
-
-    def step(self, ids: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss over weighted positions, and its gradient."""
-        f = self.forward(ids)
-        t = f["logits"] - f["logits"].max(-1, keepdims=True)
-        pr = np.exp(t)
-        pr /= pr.sum(-1, keepdims=True)
-        cls = self.cls[target][..., None]
-        w = (weight / max(1.0, weight.sum())).astype(np.float32)[..., None]
-        loss = float(-(np.log(np.take_along_axis(pr, cls, -1) + 1e-12) * w).sum())
-        np.put_along_axis(pr, cls, np.take_along_axis(pr, cls, -1) - 1, -1)
-        g = pr * w
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        through = lambda a, w: (flat(a) @ w.T).reshape(*a.shape[:-1], -1)
-        d = {"u": flat(f["z"]).T @ flat(g), "b": flat(g).sum(0)}
-        dz = through(g, self.u)
-        d["w2"] = flat(f["h"]).T @ flat(dz)
-        dh = through(dz, self.w2) * (f["h"] > 0)
-        d["w1"] = flat(f["y"]).T @ flat(dh)
-        dy = dz + through(dh, self.w1)
-        d["o"] = flat(f["c"]).T @ flat(dy)
-        dc = through(dy, self.o)
-        da = np.matmul(dc, f["v"].transpose(0, 2, 1))
-        dv = np.matmul(f["a"].transpose(0, 2, 1), dc)
-        ds = f["a"] * (da - (da * f["a"]).sum(-1, keepdims=True))
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at, end = starts[:-1].repeat(n) + k * STRIDE, starts[1:].repeat(n)
+        # places behind a text's end are read and written too: its own places don't see them, and those of the next text
+        # that they fall on lie in first windows, which are written last
+        row, cls = (np.r_[a[begin], a[ids], np.full(WINDOW, a[begin])] for a in (self.row, self.cls))
+        out, begins = np.zeros(len(row), np.float32), np.zeros(len(row), np.float32)
+        view = lambda a, n: np.lib.stride_tricks.sliding_window_view(a, n, writeable=True)
+        for first, chosen in ((WINDOW - STRIDE, np.flatnonzero(k > 0)), (0, np.flatnonzero(k == 0))):
+            inputs, targets = view(row, WINDOW), view(cls, WINDOW - first)
+            into = [view(x, WINDOW - first) for x in (out, begins)]
+            for lo in range(0, len(chosen), SCORED):
+                r = chosen[lo : lo + SCORED]
+                x, new = inputs[at[r]], at[r] + first
+                if not first:
+                    x[:, 0] = row[0]
+                for a, found in zip(into, self._log_prob(x, targets[new + 1], start, first)):
+                    found = found.reshape(len(r), -1)
+                    a[new] = found if first else np.where(new[:, None] + np.arange(WINDOW) < end[r][:, None], found, a[new])
+        return out[: len(ids)], begins[: len(ids)]
+
+    def step(self, ids: np.ndarray, target: np.ndarray, weight: np.ndarray, grad: dict[str, np.ndarray] | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean loss over weighted positions, and its gradient (in ``grad``, if given): the sums over portions of the windows."""
+        grad = grad or {x: np.empty_like(getattr(self, x)) for x in TRAINED}
+        for d in grad.values():
+            d[...] = 0
+        row, cls = self.row[ids], self.cls[target]
+        weight = (weight / max(1.0, weight.sum())).astype(self.u.dtype)
+        loss = sum(self._step(row[lo : lo + STEPPED], cls[lo : lo + STEPPED].ravel(), weight[lo : lo + STEPPED].ravel(), grad) for lo in range(0, len(ids), STEPPED))
+        return loss, grad
+
+    def _step(self, row: np.ndarray, cls: np.ndarray, weight: np.ndarray, grad: dict[str, np.ndarray]) -> float:
+        n, length = row.shape
+        kind, scale = self.u.dtype, self.q.dtype.type(WIDTH**-0.5)
+        f = self.states(row)
+        z, h, y, s = f["z"], f["h"], f["y"], f["s"]
+        t, w, own, total = self.exponentials(z, cls)
+        loss = float(-(np.log(np.exp(own) / total + 1e-12) * weight).sum())
+        # the gradient of the logits is t w, less the total at the target's class, times the weight over the total: the columns'
+        # factor and the rows' go to the other side of the products
+        t.reshape(-1)[np.arange(len(cls)) * CLASSES + cls] -= total / w[cls]
+        factor = weight / total
+        dz = np.empty_like(z)
+        _by_rows(t, (self.u * w).T, dz)
+        dz *= factor[:, None]
+        grad["b"] += (factor @ t) * w
+        z *= factor[:, None]
+        cut = len(z) // ROWS * ROWS
+        shape = (-1, ROWS, WIDTH), (-1, ROWS, CLASSES)
+        grad["u"] += (np.matmul(z[:cut].reshape(shape[0]).transpose(0, 2, 1), t[:cut].reshape(shape[1])).sum(0) + z[cut:].T @ t[cut:]) * w
+        grad["w2"] += h.T @ dz
+        dh = np.matmul(dz, self.w2.T, out=_room("dh", kind, len(z), HIDDEN))
+        dh *= h > 0
+        grad["w1"] += y.T @ dh
+        dz += dh @ self.w1.T  # now y's
+        grad["o"] += f["c"].T @ dz
+        # the attention's weights are s r: the gradient of their logits is s (r dc v - r dc c)
+        dc = dz @ self.o.T
+        dc *= f["r"][:, None]
+        less = (dc * f["c"]) @ np.ones(WIDTH, kind)
+        dc = dc.reshape(n, length, WIDTH)
+        ds = np.matmul(dc, f["v"].transpose(0, 2, 1), out=_room("ds", kind, n, length, length))
+        ds -= less.reshape(n, length, 1)
+        ds *= s
+        dq = np.matmul(ds, f["k"], out=_room("dq", kind, n, length, WIDTH))
+        dk = np.matmul(ds.transpose(0, 2, 1), f["q"], out=_room("dk", kind, n, length, WIDTH))
+        dv = np.matmul(s.transpose(0, 2, 1), dc, out=_room("dv", kind, n, length, WIDTH))
         # the queries are kept scaled
-        dq, dk = np.matmul(ds, f["k"]) * np.float32(WIDTH**-0.5), np.matmul(ds.transpose(0, 2, 1), f["q"])
-        for name, part in (("q", dq), ("k", dk), ("v", dv)):
-            d[name] = flat(f["x"]).T @ flat(part)
-        dx = dy + through(dq, self.q) + through(dk, self.k) + through(dv, self.v)
-        d["p"] = dx.sum(0)
-        d["e"] = np.zeros_like(self.e)
-        np.add.at(d["e"], self.row[ids].ravel(), flat(dx))
-        return loss, d
+        for name, part, by in (("q", dq, scale), ("k", dk, 1), ("v", dv, 1)):
+            part = part.reshape(-1, WIDTH)
+            grad[name] += (f["x"].T @ part) * by
+            dz += part @ (getattr(self, name) * by).T  # in the end x's
+        grad["p"][:length] += dz.reshape(n, -1).sum(0).reshape(length, WIDTH)
+        # two numbers at a time, as complex ones
+        pair = np.complex64 if kind == np.float32 else np.complex128
+        into, half = grad["e"].reshape(-1).view(pair), WIDTH // 2
+        np.add.at(into, (row.reshape(-1, 1) * half + np.arange(half)).ravel(), dz.reshape(-1).view(pair))
+        return loss
 
     def dumps(self) -> bytes:
         out = io.BytesIO()
@@ -258,17 +368,34 @@ TRAINED = ("e", "p", "q", "k", "v", "o", "w1", "w2", "u", "b")
 
 
 class Adam:
+    """Adam over all trained arrays at once: they become views of one."""
+
     def __init__(self, model: Attention):
         self.model, self.steps = model, 0
-        self.m, self.v = ({x: np.zeros_like(getattr(model, x)) for x in TRAINED} for _ in range(2))
+        self.flat = np.concatenate([getattr(model, x).ravel() for x in TRAINED])
+        self.m, self.v, self.grad, self.spare = (np.zeros_like(self.flat) for _ in range(4))
+        self.parts, at = {}, 0
+        for x in TRAINED:
+            shape, size = getattr(model, x).shape, getattr(model, x).size
+            setattr(model, x, self.flat[at : at + size].reshape(shape))
+            self.parts[x] = self.grad[at : at + size].reshape(shape)
+            at += size
 
     def step(self, inputs: np.ndarray, targets: np.ndarray, weight: np.ndarray, rate: float) -> None:
-        _, grad = self.model.step(inputs, targets, weight)
+        self.model.step(inputs, targets, weight, self.parts)
         self.steps += 1
-        for x in TRAINED:
-            self.m[x] += 0.1 * (grad[x] - self.m[x])
-            self.v[x] += 0.01 * (grad[x] ** 2 - self.v[x])
-            getattr(self.model, x)[...] -= rate * (self.m[x] / (1 - 0.9**self.steps)) / (np.sqrt(self.v[x] / (1 - 0.99**self.steps)) + 1e-8)
+        kind, g, t = self.flat.dtype.type, self.grad, self.spare
+        for held, share in ((self.m, 0.1), (self.v, 0.01)):
+            held *= kind(1 - share)
+            held += np.multiply(g, kind(share), out=t)
+            g *= g
+        # rate * (m / (1 - 0.9^n)) / (sqrt(v / (1 - 0.99^n)) + 1e-8)
+        root = (1 - 0.99**self.steps) ** 0.5
+        np.sqrt(self.v, out=t)
+        t += kind(1e-8 * root)
+        np.divide(self.m, t, out=t)
+        t *= kind(rate * root / (1 - 0.9**self.steps))
+        self.flat -= t
 
 
 def whole_windows(ids: np.ndarray, starts: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:

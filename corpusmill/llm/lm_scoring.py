@@ -33,17 +33,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusmill.llm import attention
 from corpusmill.llm.attention import WINDOW, Attention
-from corpusmill.llm.common import in_training, n_blocks, saved, short_batches
+from corpusmill.llm.common import forget, in_training, n_blocks, saved, short_batches
 from corpusmill.llm.quality import _summed
-from corpusmill.llm.tokens import tokenizer
+from corpusmill.llm.tokens import gathered, tokenizer
 
 #: Where the mixture's steps over all texts begin: so many training documents, and characters of each, in stretches of WINDOW_CHARS
 #: from each STRETCH characters.
 SEED_DOCS, SEED_CHARS, STRETCH, WINDOW_CHARS = 1200, 8000, 1280, 200
 #: Steps of the mixture over all training documents, and the texts whose bags are held at a time.
 MIXTURE_STEPS, BAGS = 1, 64
-#: Windows of a group, and rounds.
-GROUP_WINDOWS, ROUNDS = 65_536, 2
+#: Windows that a group has at least, where there are so many, and rounds. A quarter more than a group's least steps take: else
+#: uneven groups that just miss them would go over all their windows twice.
+GROUP_WINDOWS, ROUNDS = attention.STEPS * attention.ROUND_BATCH * 5 // 4, 2
 #: Bytes of text that a block scores at a time.
 SCORED_BYTES = 3 << 20
 #: Bytes of text whose words a block counts at a time.
@@ -152,35 +153,34 @@ def score(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
     dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.monotonically_increasing_id()), F.lit(n)).cast("int")).repartition(n, "block")
 
     def counted(t: pa.Table) -> pa.Table:
-        seen: dict[str, int] = {}
+        words, counts = [], []
         for texts, learn in _portions(t, COUNTED_BYTES):
             w = Words(texts)
-            taught = np.repeat(learn, np.diff(w.starts))
-            for x, k in zip(w.distinct.to_pylist(), np.bincount(w.number, taught, minlength=len(w.distinct)).astype(np.int64).tolist()):
-                seen[x] = seen.get(x, 0) + k
-        parts: list[list[bytes]] = [[] for _ in range(buckets)]
-        counts: list[list[int]] = [[] for _ in range(buckets)]
-        for x, k in seen.items():
-            raw = x.encode()
-            at = zlib.crc32(raw) % buckets
-            parts[at].append(raw)
-            counts[at].append(k)
-        block = t.column("block")[0].as_py()
-        return pa.Table.from_pylist([{"bucket": k, "block": block, "words": b" ".join(ws), "counts": np.array(counts[k], np.int64).tobytes()} for k, ws in enumerate(parts) if ws], schema=_SENT)
+            words.append(w.distinct)
+            counts.append(np.bincount(w.number, np.repeat(learn, np.diff(w.starts)), minlength=len(w.distinct)))
+        seen = pa.concat_arrays(words).dictionary_encode()
+        total = np.bincount(seen.indices.to_numpy(), np.concatenate(counts), minlength=len(seen.dictionary)).astype(np.int64)
+        bucket = np.array([zlib.crc32(x) % buckets for x in seen.dictionary.cast(pa.binary()).to_pylist()], np.int64)
+        order = np.argsort(bucket, kind="stable")
+        used, first = np.unique(bucket[order], return_index=True)
+        cuts = np.r_[first, len(order)]
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), seen.dictionary.take(pa.array(order)))
+        block, total = t.column("block")[0].as_py(), total[order]
+        return pa.table({"bucket": pa.array(used, pa.int32()), "block": pa.array([block] * len(used), pa.int32()), "words": pc.binary_join(lists, " ").cast(pa.binary()), "counts": pa.array([total[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:])], pa.binary())}, schema=_SENT)
 
     def totalled(t: pa.Table) -> pa.Table:
-        place: dict[bytes, int] = {}
-        own = [np.fromiter((place.setdefault(w, len(place)) for w in x.split(b" ")), np.int64, x.count(b" ") + 1) for x in t.column("words").to_pylist()]
-        total = np.zeros(len(place), np.int64)
-        for at, c in zip(own, t.column("counts").to_pylist()):
-            np.add.at(total, at, np.frombuffer(c, np.int64))
+        lists = pc.split_pattern(t.column("words").combine_chunks().cast(pa.large_string()), " ")
+        cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        seen = lists.flatten().dictionary_encode()
+        own = seen.indices.to_numpy()
+        total = np.bincount(own, np.frombuffer(b"".join(t.column("counts").to_pylist()), np.int64), minlength=len(seen.dictionary)).astype(np.int64)
         bpe = tokenizer(tokenizer_path)
-        ids, begin, size = subwords_of(pa.array([w.decode() for w in place], pa.string()), bpe)
+        ids, begin, size = subwords_of(seen.dictionary, bpe)
         bucket = t.column("bucket")[0].as_py()
-        back = [
-            {"block": b, "bucket": bucket, "words": x, "counts": total[at].tobytes(), "sizes": size[at].astype("<u4").tobytes(), "ids": stretched(ids, begin[at], size[at]).astype("<u2").tobytes()}
-            for b, x, at in zip(t.column("block").to_pylist(), t.column("words").to_pylist(), own)
-        ]
+        back = []
+        for block, words, a, z in zip(t.column("block").to_pylist(), t.column("words").to_pylist(), cuts[:-1], cuts[1:]):
+            at = own[a:z]
+            back.append({"block": block, "bucket": bucket, "words": words, "counts": total[at].tobytes(), "sizes": size[at].astype("<u4").tobytes(), "ids": stretched(ids, begin[at], size[at]).astype("<u2").tobytes()})
         sub = np.bincount(stretched(ids, begin, size), np.repeat(total, size), minlength=END + 1)
         back.append({"block": -1, "bucket": bucket, "types": int((total > 0).sum()), "once": int((total == 1).sum()), "tokens": int(total.sum()), "subwords": sub})
         return pa.Table.from_pylist(back, schema=_BACK)
@@ -196,7 +196,9 @@ def score(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
     masses[END] = ends
     bpe = tokenizer(tokenizer_path)
     corpus = Corpus(masses + 0.5, bpe.begin_with_space(END + 1) | (np.arange(END + 1) == END), once, tokens)
-    model = _trained(rows, tokenizer_path, masses, _mixture(rows, tokenizer_path, masses, n_rows))
+    encoded = _encoded(rows, tokenizer_path)
+    model = _trained(encoded, masses, _mixture(rows, encoded, tokenizer_path, masses, n_rows))
+    forget(encoded)
     # a model of fixed size
     shared = spark.sparkContext.broadcast((model.dumps(), corpus))
     floor = math.log10(tokens + types + 1)
@@ -205,16 +207,14 @@ def score(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
         if not t.num_rows:
             return pa.table({k: pa.array([], v) for k, v in (("doc_id", t.schema.field("doc_id").type), ("held_out", pa.bool_()), *((c, pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")), ("base_score", pa.float64()), ("score", pa.float64()))})
         net, corpus = Attention.loads(shared.value[0]), shared.value[1]
-        index: dict[str, int] = {}
-        for x in back.column("words").to_pylist():
-            index.update(zip(x.decode().split(" "), range(len(index), len(index) + x.count(b" ") + 1)))
+        known = pc.split_pattern(pa.array([b" ".join(back.column("words").to_pylist()).decode()], pa.large_string()), " ").flatten()
         joined = lambda c, kind: np.frombuffer(b"".join(back.column(c).to_pylist()), kind).astype(np.int64)
         count, size, ids = joined("counts", np.int64), joined("sizes", "<u4"), joined("ids", "<u2")
         begin = np.cumsum(size) - size
         n_tokens, n_known, base, score = [], [], [], []
         for texts, _ in _portions(t):
             w = Words(texts)
-            own = np.fromiter(map(index.__getitem__, w.distinct.to_pylist()), np.int64, len(w.distinct))
+            own = pc.index_in(w.distinct.cast(pa.large_string()), value_set=known).to_numpy()
             c = count[own]
             each = c[w.number]
             sums = lambda v: np.diff(np.r_[0, np.cumsum(v)][w.starts])  # noqa: E731, B023
@@ -251,7 +251,7 @@ def _streamed(texts: pa.Array, bpe) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(stretched(ids, begin[words.number], size[words.number]), ends[1:], END), ends + np.arange(len(ends))
 
 
-def _mixture(rows: DataFrame, path: str, masses: np.ndarray, n_rows: int) -> np.ndarray | None:
+def _mixture(rows: DataFrame, encoded: DataFrame, path: str, masses: np.ndarray, n_rows: int) -> np.ndarray | None:
     """The component of each subword, by a mixture over all training texts.
 
     It starts from one fitted to stretches of the SEED_DOCS texts of the least hashes; None without enough texts.
@@ -266,7 +266,7 @@ def _mixture(rows: DataFrame, path: str, masses: np.ndarray, n_rows: int) -> np.
     found = attention.seeded(masses, [stream[a:z] for a, z in zip(starts[:-1], starts[1:])])
     for _ in range(MIXTURE_STEPS if found else 0):
         shared = spark.sparkContext.broadcast((*found, attention.known_of(masses)))  # of fixed size
-        sums = _summed(taught.select("text").mapInArrow(_bagged(path, shared, len(masses)), "i int, pid long, v array<double>"), 1)
+        sums = _summed(encoded.select("ids").mapInArrow(_bagged(shared, len(masses)), "i int, pid long, v array<double>"), 1)
         if len(sums):
             v = sums[0]
             found = attention.updated(v[: attention.COMPONENTS], v[attention.COMPONENTS :].reshape(attention.COMPONENTS, -1))
@@ -289,13 +289,13 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(parts, pa.string())], names=["h", "order", "part"])
 
 
-def _bagged(path: str, shared, size: int):
+def _bagged(shared, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The sums of an expectation step over a partition's texts."""
         attention.one_blas_thread()
-        bpe, (phi, weight, known), sums = tokenizer(path), shared.value, None
+        (phi, weight, known), sums = shared.value, None
         for b in batches:
-            stream, starts = _streamed(b.column(0), bpe)
+            stream, starts = _held(b.column(0).to_pylist())
             for lo in range(0, len(starts) - 1, BAGS):
                 own = starts[lo : lo + BAGS + 1]
                 x = attention.bags_of([stream[a:z] for a, z in zip(own[:-1], own[1:])], known, size)
@@ -310,16 +310,24 @@ def _bagged(path: str, shared, size: int):
     return run
 
 
-def _ids(path: str):
+def _encoded(rows: DataFrame, path: str) -> DataFrame:
+    """(h, h2, ids) of each training document, written: all its ids with its end, in two bytes each, under two hashes of the row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(g, h, h2, ids): all ids of each text with its end, in two bytes each."""
         bpe = tokenizer(path)
-        for b in batches:
-            stream, starts = _streamed(b.column(3), bpe)
+        for b in gathered(batches, "text"):
+            stream, starts = _streamed(b.column(2), bpe)
             stream = stream.astype("<u2")
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), pa.array([stream[a:z].tobytes() for a, z in zip(starts[:-1], starts[1:])], pa.binary())], names=["g", "h", "h2", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([stream[a:z].tobytes() for a, z in zip(starts[:-1], starts[1:])], pa.binary())], names=["h", "h2", "ids"])
+
+    text = F.coalesce("text", F.lit(""))
+    taught = rows.where("learn").select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("h"), F.hash(text, F.col("doc_id").cast("string")).alias("h2"), text.alias("text"))
+    return saved(taught.mapInArrow(run, "h long, h2 int, ids binary"), compression="zstd")
 
-    return run
+
+def _held(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts, of two bytes each, in one array, and where each text's begin (one more for the last's end)."""
+    return np.frombuffer(b"".join(texts), "<u2").astype(np.int64), np.cumsum([0, *(len(x) // 2 for x in texts)])
 
 
 def _learnt(shared, k: int):
@@ -329,8 +337,7 @@ def _learnt(shared, k: int):
         # in an order of their own: a task that runs again learns alike
         own = sorted(zip(t.column("ids").to_pylist(), t.column("n").to_pylist()))
         group = t.column("g")[0].as_py()
-        stream = np.frombuffer(b"".join(r for r, _ in own), "<u2").astype(np.int64)
-        windows, text = attention.whole_windows(stream, np.cumsum([0, *(len(r) // 2 for r, _ in own)]), END)
+        windows, text = attention.whole_windows(*_held([r for r, _ in own]), END)
         rate = attention.ROUND_RATE if k else attention.RATE
         attention.trained_on(net, windows, np.array([x for _, x in own], float)[text], 1000 * k + group, rate, attention.STEPS)
         flat = np.concatenate([getattr(net, x).ravel() for x in attention.TRAINED]).astype(float) * len(windows)
@@ -339,22 +346,24 @@ def _learnt(shared, k: int):
     return run
 
 
-def _trained(rows: DataFrame, path: str, masses: np.ndarray, component: np.ndarray | None) -> Attention:
+def groups_of(ids: float) -> int:
+    """The groups of a round, where all rounds have so many ids."""
+    return max(1, int(ids / WINDOW / ROUNDS / GROUP_WINDOWS))
+
+
+def _trained(encoded: DataFrame, masses: np.ndarray, component: np.ndarray | None) -> Attention:
     """The model after ROUNDS rounds, which go over all ids of all training documents. Rows that are equal are one text with a weight."""
-    spark = rows.sparkSession
+    spark = encoded.sparkSession
     model = Attention.new(masses, np.random.default_rng(attention.SEED), component)
     if not masses.sum():
         model.u[:] = 0
         return model
-    text = F.coalesce("text", F.lit(""))
-    taught = rows.where("learn").select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("h"), F.hash(text, F.col("doc_id").cast("string")).alias("h2"), text.alias("text"))
-    groups = max(1, math.ceil(masses.sum() / WINDOW / ROUNDS / GROUP_WINDOWS))
+    groups = groups_of(masses.sum())
     spaces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(4 * groups, 4096))
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model.dumps())  # of fixed size
-        mine = taught.where(F.pmod("h", F.lit(ROUNDS)) == k).select(F.pmod(F.shiftright("h", 8), F.lit(groups)).cast("long").alias("g"), "h", "h2", "text")
-        ids = mine.mapInArrow(_ids(path), "g long, h long, h2 int, ids binary").repartition(spaces, "g")
-        texts = ids.groupBy("g", "h", "h2").agg(F.first("ids").alias("ids"), F.count("*").alias("n"))
+        mine = encoded.where(F.pmod("h", F.lit(ROUNDS)) == k).select(F.pmod(F.shiftright("h", 8), F.lit(groups)).cast("long").alias("g"), "h", "h2", "ids")
+        texts = mine.repartition(spaces, "g").groupBy("g", "h", "h2").agg(F.first("ids").alias("ids"), F.count("*").alias("n"))
         summed = _summed(texts.groupBy("g").applyInArrow(_learnt(shared, k), "i int, pid long, v array<double>"), 1)
         if len(summed):
             flat, at = summed[0][:-1] / summed[0][-1], 0

@@ -162,3 +162,48 @@ def test_training_goes_over_all_documents(spark, monkeypatch):
     assert masses[0].sum() == sum(n.values())
     assert sum(r[0][-1] for r in rounds) == sum(-(-x // attention.WINDOW) for x in n.values())
     assert mixture[0][: attention.COMPONENTS].sum() == pytest.approx(sum(x >= 20 for x in n.values()))
+
+
+def test_uneven_groups_go_over_their_windows_once():
+    """Groups have a quarter more windows than their least steps take, so that one that is a little short doesn't go over all twice."""
+    from corpusmill.llm.lm_scoring import ROUNDS, groups_of
+
+    once = attention.STEPS * attention.ROUND_BATCH
+    for windows in (1, once, 1.5 * once, 3 * once, 68 * 65_536, 10_000 * once):
+        each = windows / groups_of(windows * attention.WINDOW * ROUNDS)
+        assert each == windows < 2.5 * once or 1.25 * once <= each < 2.5 * once
+
+
+def test_gradient_over_portions_and_large_logits():
+    """Portions of windows add up, and logits beyond the range of 32-bit exponentials change nothing."""
+    rng = np.random.default_rng(4)
+    net = attention.Attention.new(np.arange(200.0), rng)
+    shape = 2 * attention.STEPPED + 3, 9
+    ids, target, weight = rng.integers(0, 200, shape), rng.integers(0, 200, shape), rng.random(shape)
+    for raised in (0, 150, -150):
+        for far in (0, raised):
+            net.b[:] += np.float32(far)
+            loss, grad = net.step(ids, target, weight)
+            logits = net.forward(ids)["logits"].astype(float)
+            p = np.exp(logits - logits.max(-1, keepdims=True))
+            p /= p.sum(-1, keepdims=True)
+            own = np.take_along_axis(p, net.cls[target][..., None], -1)[..., 0]
+            assert loss == pytest.approx(-(np.log(own + 1e-12) * weight).sum() / weight.sum(), rel=1e-4)
+            g = p * weight[..., None]
+            np.put_along_axis(g, net.cls[target][..., None], ((own - 1) * weight)[..., None], -1)
+            assert np.allclose(grad["b"], g.sum((0, 1)) / weight.sum(), atol=1e-6)
+            found, _ = net.log_prob(ids, target, np.ones(attention.CLASSES))
+            assert np.allclose(found, np.log(np.maximum(own, 1e-300)).ravel(), rtol=1e-4, atol=1e-3)
+            net.b[:] -= np.float32(far)
+        net.u[:] *= 30  # logits far apart within a row
+
+
+def test_the_table_of_ids_holds_every_training_text(spark):
+    """The table of ids, from which the mixture and both rounds learn, has each training row's ids once."""
+    from corpusmill.llm import lm_scoring
+
+    bpe = tokenizer(PATH)
+    texts = ["one two  three", "", None, "a" * 5000, "x y " * 3000, "x y " * 3000]
+    rows = spark.createDataFrame([(i, t, i != 3) for i, t in enumerate(texts)], "doc_id long, text string, learn boolean")
+    got = sorted(lm_scoring._held([r.ids])[0].tolist() for r in lm_scoring._encoded(rows, PATH).collect())
+    assert got == sorted([x for w in (t or "").split() for x in bpe.plain(" " + w)] + [END] for i, t in enumerate(texts) if i != 3)
