@@ -22,6 +22,7 @@ subwords spell words that the corpus does not have; a word ends where the next b
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
@@ -74,14 +75,15 @@ class Words:
 
 def subwords_of(words: pa.Array, bpe) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, begin, count): each word's ids, read after a space, as a stretch of one array."""
-    texts = words.to_pylist()
     size = pc.binary_length(words).to_numpy().astype(np.int64)
     odd = pc.binary_length(pc.utf8_trim_whitespace(words)).to_numpy() != size
     plain, alone = np.flatnonzero(~odd), np.flatnonzero(odd)
-    ids = np.array(bpe.plain(" " + " ".join([texts[i] for i in plain]) if len(plain) else ""), np.int64)
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), words.filter(pa.array(~odd)).cast(pa.string())), " ")[0].as_py()
+    ids = np.array(bpe.plain(" " + text if len(plain) else ""), np.int64)
     ends = np.searchsorted(np.cumsum(bpe.sizes[ids]), np.cumsum(size[plain] + 1)) + 1
-    begin, count = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    begin, count = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
     begin[plain], count[plain] = np.r_[0, ends[:-1]] if len(ends) else ends, np.diff(ends, prepend=0)
+    texts = dict(zip(alone.tolist(), words.filter(pa.array(odd)).to_pylist()))
     parts, at = [ids], len(ids)
     for i in alone:  # words with other white space inside or at an end
         parts.append(np.array(bpe.plain(" " + texts[i]), np.int64))
@@ -90,6 +92,33 @@ def subwords_of(words: pa.Array, bpe) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.concatenate(parts), begin, count
 
 
+@functools.lru_cache(maxsize=1)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd number, and of what undoes it, in 32 bits."""
+    made = []
+    for x in (0x01000193, pow(0x01000193, -1, 1 << 32)):
+        row = np.full(1 << bits, x, np.uint32)
+        row[0] = 1
+        made.append(np.cumprod(row, dtype=np.uint32, out=row))
+    return made[0], made[1]
+
+
+def hashed(words: pa.Array) -> np.ndarray:
+    """A number of 31 bits for each word, by its bytes alone, to deal words out by."""
+    words = words.cast(pa.large_binary())
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    first, n = int(at[0]), int(at[-1] - at[0])
+    data = np.frombuffer(words.buffers()[2], np.uint8)[first : first + n] if n else np.zeros(0, np.uint8)
+    # a polynomial of a word's bytes is a difference of two sums over all, divided by the power at which it begins
+    power, back = _powers(max(n, 1 << 20).bit_length())
+    sums = np.zeros(n + 1, np.uint32)
+    np.cumsum((data + np.uint32(1)) * power[:n], out=sums[1:])
+    out = (sums[at[1:] - first] - sums[at[:-1] - first]) * back[at[:-1] - first]
+    for by in (0x85EBCA6B, 0xC2B2AE35):
+        out = (out ^ out >> np.uint32(15)) * np.uint32(by)
+    return (out >> np.uint32(1)).astype(np.int64)
+
+
 def stretched(ids: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The stretches ``ids[begin : begin + count]`` one after the other."""
     at = np.cumsum(count) - count
@@ -160,7 +189,7 @@ def score(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
             counts.append(np.bincount(w.number, np.repeat(learn, np.diff(w.starts)), minlength=len(w.distinct)))
         seen = pa.concat_arrays(words).dictionary_encode()
         total = np.bincount(seen.indices.to_numpy(), np.concatenate(counts), minlength=len(seen.dictionary)).astype(np.int64)
-        bucket = np.array([zlib.crc32(x) % buckets for x in seen.dictionary.cast(pa.binary()).to_pylist()], np.int64)
+        bucket = hashed(seen.dictionary) % buckets
         order = np.argsort(bucket, kind="stable")
         used, first = np.unique(bucket[order], return_index=True)
         cuts = np.r_[first, len(order)]

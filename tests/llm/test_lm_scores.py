@@ -207,3 +207,14 @@ def test_the_table_of_ids_holds_every_training_text(spark):
     rows = spark.createDataFrame([(i, t, i != 3) for i, t in enumerate(texts)], "doc_id long, text string, learn boolean")
     got = sorted(lm_scoring._held([r.ids])[0].tolist() for r in lm_scoring._encoded(rows, PATH).collect())
     assert got == sorted([x for w in (t or "").split() for x in bpe.plain(" " + w)] + [END] for i, t in enumerate(texts) if i != 3)
+
+
+def test_words_are_dealt_by_their_bytes():
+    from corpusmill.llm.lm_scoring import hashed
+
+    words = ["a", "b", "ab", "ba", "中文", "\x00", "\x00\x00", "x" * 70_000, *(f"w{i}" for i in range(20_000))]
+    each = hashed(pa.array(words))
+    assert len(set(each.tolist())) > len(words) - 10
+    assert (hashed(pa.array(words[::-1], pa.large_string()))[::-1] == each).all() and (hashed(pa.array(words).slice(3, 50)) == each[3:53]).all()
+    assert np.bincount(each % 12).max() < 1.1 * len(words) / 12
+    assert len(hashed(pa.array([], pa.string()))) == 0
