@@ -193,12 +193,12 @@ def score(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
         order = np.argsort(bucket, kind="stable")
         used, first = np.unique(bucket[order], return_index=True)
         cuts = np.r_[first, len(order)]
-        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), seen.dictionary.take(pa.array(order)))
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), seen.dictionary.take(pa.array(order)).cast(pa.string()))
         block, total = t.column("block")[0].as_py(), total[order]
         return pa.table({"bucket": pa.array(used, pa.int32()), "block": pa.array([block] * len(used), pa.int32()), "words": pc.binary_join(lists, " ").cast(pa.binary()), "counts": pa.array([total[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:])], pa.binary())}, schema=_SENT)
 
     def totalled(t: pa.Table) -> pa.Table:
-        lists = pc.split_pattern(t.column("words").combine_chunks().cast(pa.large_string()), " ")
+        lists = pc.split_pattern(t.column("words").cast(pa.large_string()).combine_chunks(), " ")
         cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         seen = lists.flatten().dictionary_encode()
         own = seen.indices.to_numpy()
