@@ -164,14 +164,18 @@ def test_training_goes_over_all_documents(spark, monkeypatch):
     assert mixture[0][: attention.COMPONENTS].sum() == pytest.approx(sum(x >= 20 for x in n.values()))
 
 
-def test_uneven_groups_go_over_their_windows_once():
-    """Groups have a quarter more windows than their least steps take, so that one that is a little short doesn't go over all twice."""
-    from corpusmill.llm.lm_scoring import ROUNDS, groups_of
-
-    once = attention.STEPS * attention.ROUND_BATCH
-    for windows in (1, once, 1.5 * once, 3 * once, 68 * 65_536, 10_000 * once):
-        each = windows / groups_of(windows * attention.WINDOW * ROUNDS)
-        assert each == windows < 2.5 * once or 1.25 * once <= each < 2.5 * once
+def test_uneven_groups_go_over_their_windows_once(spark, monkeypatch):
+    """Groups hold as many windows as their least steps take, and a quarter more: one that is a little short would go over all twice."""
+    from corpusmill.llm import lm_scoring
+
+    assert lm_scoring.GROUP_WINDOWS >= 1.25 * attention.STEPS * attention.ROUND_BATCH
+    groups, summed = [], lm_scoring._summed
+    monkeypatch.setattr(lm_scoring, "_summed", lambda parts, n: groups.append(parts.select("pid").distinct().count()) or summed(parts, n))
+    monkeypatch.setattr(lm_scoring, "GROUP_WINDOWS", 20)
+    # 32 texts of about 43 ids: about 43 windows, of which a round has half, a little more than a group's
+    docs = spark.createDataFrame([(i, f"w{i} " + "one two three four " * 10) for i in range(50) if zlib.crc32(str(i).encode()) % 7 != 2][:32], "doc_id long, text string")
+    score(docs, PATH).count()
+    assert groups[-lm_scoring.ROUNDS :] == [1] * lm_scoring.ROUNDS
 
 
 def test_gradient_over_portions_and_large_logits():
